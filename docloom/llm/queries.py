@@ -23,6 +23,19 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score_documents, train
+
+    docs = table(spark, sf_dir, "documents")
+    return score_documents(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .common import materialize
     from .media import png_features, text_to_png
@@ -40,7 +53,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op9_media": op9_media, "op10_warc": op10_warc}
+    return {"op1_packing": op1_packing, "op2_quality": op2_quality, "op6_simhash": op6_simhash, "op9_media": op9_media, "op10_warc": op10_warc}
 
 
 def oracle_sql() -> dict[str, str]:
