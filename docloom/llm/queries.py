@@ -30,6 +30,13 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import digest_columns, labelled_samples, ratio_table, scan
+
+    docs = table(spark, sf_dir, "documents")
+    return digest_columns(scan(docs, ratio_table(labelled_samples(spark, docs))))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
 
@@ -53,7 +60,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op2_quality": op2_quality, "op6_simhash": op6_simhash, "op9_media": op9_media, "op10_warc": op10_warc}
+    return {"op1_packing": op1_packing, "op2_quality": op2_quality, "op4_secrets": op4_secrets, "op6_simhash": op6_simhash, "op9_media": op9_media, "op10_warc": op10_warc}
 
 
 def oracle_sql() -> dict[str, str]:
