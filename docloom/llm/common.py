@@ -17,6 +17,8 @@ def tune(spark: SparkSession) -> None:
     """Keep Arrow batches small enough for an executor's Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    # Shuffle files of a finished step go at once: what later steps read has been written to the shared folder.
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 def shared_dir(spark: SparkSession) -> str:

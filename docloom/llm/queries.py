@@ -43,6 +43,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substrings import removal_digest
+
+    return removal_digest(table(spark, sf_dir, "documents"))
+
+
 def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .common import materialize
     from .media import png_features, text_to_png
@@ -60,7 +66,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op2_quality": op2_quality, "op4_secrets": op4_secrets, "op6_simhash": op6_simhash, "op9_media": op9_media, "op10_warc": op10_warc}
+    return {"op1_packing": op1_packing, "op2_quality": op2_quality, "op4_secrets": op4_secrets, "op6_simhash": op6_simhash, "op7_repeats": op7_repeats, "op9_media": op9_media, "op10_warc": op10_warc}
 
 
 def oracle_sql() -> dict[str, str]:
