@@ -12,6 +12,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -171,8 +172,6 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def score_column(model: ChainModel, text: Column) -> Column:
     """Score of every text, 0 to 1; null as empty."""
-    import pandas as pd
-
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
         return pd.Series([model.score((x or "").encode("utf-8", "replace")) for x in texts], dtype="float64")

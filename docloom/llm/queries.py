@@ -65,8 +65,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op2_quality": op2_quality, "op4_secrets": op4_secrets, "op6_simhash": op6_simhash, "op7_repeats": op7_repeats, "op9_media": op9_media, "op10_warc": op10_warc}
+    return {"op1_packing": op1_packing, "op2_quality": op2_quality, "op4_secrets": op4_secrets, "op6_simhash": op6_simhash, "op7_repeats": op7_repeats, "op9_media": op9_media, "op10_warc": op10_warc, "pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -22,6 +22,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -356,18 +357,17 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", key_bytes: int = KEY
 
     Where a cut leaves part of a character, that part goes too. A null text stays null.
     """
-    import pandas as pd
-
     keyed, found = mark_repeats(docs, text_col, key_bytes)
 
     @F.pandas_udf("string")
     def without(texts: pd.Series, lists: pd.Series) -> pd.Series:
         out = []
         for text, parts in zip(texts, lists, strict=True):
+            if text is None or parts is None:
+                out.append(text)
+                continue
             raw = text.encode()
             out.append(np.frombuffer(raw, np.uint8)[~covered(len(raw), list(parts))].tobytes().decode("utf-8", "ignore"))
         return pd.Series(out)
 
-    joined = keyed.join(found, "rid", "left")
-    text = F.when(F.col("parts").isNull(), F.col("__text")).otherwise(without("__text", "parts"))
-    return joined.withColumn(text_col, text).select(*docs.columns)
+    return keyed.join(found, "rid", "left").withColumn(text_col, without("__text", "parts")).select(*docs.columns)
