@@ -30,6 +30,16 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .pieces import decode_documents, encode_documents
+
+    model = tokenizer_file("piece_bpe_32k.model")
+    decoded = decode_documents(encode_documents(table(spark, sf_dir, "documents"), model), model)
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "score", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secrets import digest_columns, labelled_samples, ratio_table, scan
 
@@ -37,6 +47,12 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_columns(scan(docs, ratio_table(labelled_samples(spark, docs))))
 
 
+def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repetition import rules
+
+    return rules(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
 
@@ -49,6 +65,12 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_digest(table(spark, sf_dir, "documents"))
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_text import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .common import materialize
     from .media import png_features, text_to_png
@@ -72,7 +94,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op2_quality": op2_quality, "op4_secrets": op4_secrets, "op6_simhash": op6_simhash, "op7_repeats": op7_repeats, "op9_media": op9_media, "op10_warc": op10_warc, "pipeline": pipeline}
+    found = (op1_packing, op2_quality, op3_pieces, op4_secrets, op5_repetition, op6_simhash, op7_repeats, op8_html, op9_media, op10_warc, pipeline)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
