@@ -1 +1 @@
-
+"""Folders that files keep arriving in."""
