@@ -256,7 +256,7 @@ def test_ocr_replaces_corrupted_pages(spark):
 
 
 def test_pipeline_invariants(spark):
-    rows = lines_of(spark, "01 Titel ...", "01.01 Gruppe", "01.01.0001 Eins", "muss halten", "01.01.0001 Eins", "01.01.0002 Zwei")
+    rows = lines_of(spark, "01 Titel ...", "01.01 Gruppe", "01.01.0001 Eins", "muss halten", "01.01.0003 Eins", "01.01.0002 Zwei")
     r = run(rows)
     c = r.coverage.first()
     assert c["orphan_chunks"] == [] and c["avg_grounding"] == 1.0 and c["leaf_count"] == 3 - 1
