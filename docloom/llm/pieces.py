@@ -27,6 +27,9 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 UNKNOWN_COST = 10.0
 CACHE_ENTRIES = 300_000
+#: Runs of at most SHORT characters are encoded TOGETHER at a time and remembered; longer ones alone.
+SHORT = 40
+TOGETHER = 4096
 #: Places looked at together for a state's children.
 LOOK = 1024
 
@@ -118,6 +121,7 @@ class Pieces:
     vocabulary: list[tuple[str, float, int]]
     trie: tuple[list[int], list[int], list[int]] | None = None
     known: dict = field(default_factory=dict)
+    arrays: tuple | None = None
 
     def __post_init__(self):
         self.ids = [i for i, (_, _, kind) in enumerate(self.vocabulary) if kind in (NORMAL, USER)]
@@ -159,10 +163,14 @@ class Pieces:
                 if best[j] is None or total > best[j]:
                     best[j], came[j] = total, (i, -1)
             i += width
+        return self.walk(data, *zip(*came, strict=True)), best[n] or 0.0
+
+    def walk(self, data: bytes, start: list[int], via: list[int]) -> list[int]:
+        """Ids of the path that ends at the end of ``data``; an uncovered character gives its bytes' pieces."""
         out: list[int] = []
-        j = n
+        j = len(data)
         while j:
-            i, v = came[j]
+            i, v = start[j], via[j]
             if v >= 0:
                 out.append(self.ids[v])
             elif self.bytes:
@@ -170,26 +178,89 @@ class Pieces:
             else:
                 out.append(self.unknown)
             j = i
-        return out[::-1], best[n] or 0.0
-
-    def encode(self, text: str) -> tuple[np.ndarray, float]:
-        """(ids, log score) of a whole text, with a marker put before it; an empty text has no ids."""
-        if not text:
-            return np.empty(0, np.int32), 0.0
+        return out[::-1]
+
+    def best_paths(self, texts: list[str]) -> list[tuple[bytes, float]]:
+        """``best_path`` of many short texts (ids as little-endian bytes, score), all of them one byte further at a time."""
+        if self.arrays is None:
+            base, check, value = (np.array(x, np.int64) for x in self.trie)
+            # A step beyond the table must fail, so it is padded by what a step can reach.
+            self.arrays = base, np.r_[check, np.full(300, -1)], value, np.array(self.scores), np.array(self.ids, "<i4")
+        base, check, value, scores, ids = self.arrays
+        raw = [t.encode("utf-8", "replace") for t in texts]
+        sizes = np.array([len(x) for x in raw])
+        longest = int(sizes.max())
+        data = np.frombuffer(b"".join(x.ljust(longest, b"\0") for x in raw), np.uint8).reshape(len(raw), longest).astype(np.int64)
+        width = np.select([data < 128, data < 224, data < 240], [1, 2, 3], 4)
+        first = (data & 0xC0) != 0x80
+        best = np.full((len(raw), longest + 1), -np.inf)
+        best[:, 0] = 0.0
+        start, via = np.zeros((2, len(raw), longest + 1), np.int64)
+
+        def offer(rows: np.ndarray, end: np.ndarray | int, total: np.ndarray, i: int, v: np.ndarray | int) -> None:
+            better = total > best[rows, end]
+            rows, total = rows[better], total[better]
+            end, v = (x[better] if isinstance(x, np.ndarray) else x for x in (end, v))
+            best[rows, end], start[rows, end], via[rows, end] = total, i, v
+
+        for i in range(longest):
+            begun = np.flatnonzero((sizes > i) & first[:, i])
+            single = np.zeros(len(raw), bool)
+            rows, state = begun, np.zeros(len(begun), np.int64)
+            for j in range(i, longest):
+                there = sizes[rows] > j
+                rows, state = rows[there], state[there]
+                nxt = base[state] + data[rows, j] + 1
+                ok = check[nxt] == state
+                rows, state = rows[ok], nxt[ok]
+                if not len(rows):
+                    break
+                v = value[state]
+                hit = v >= 0
+                own = rows[hit]
+                offer(own, j + 1, best[own, i] + scores[v[hit]], i, v[hit])
+                single[own[i + width[own, i] == j + 1]] = True
+            lost = begun[~single[begun]]
+            offer(lost, i + width[lost, i], best[lost, i] + self.unknown_score, i, -1)
+        back, at = [], sizes.copy()
+        everyone = np.arange(len(raw))
+        while at.any():
+            back.append(np.where(at > 0, via[everyone, at], -2))
+            at = np.where(at > 0, start[everyone, at], 0)
+        path = np.stack(back[::-1], axis=1)  # a text's pieces stand at the end of its row
+        counts = (path != -2).sum(axis=1)
+        plain = ~(path == -1).any(axis=1)
+        numbers = ids[np.maximum(path, 0)]
+        ends = best[everyone, sizes].tolist()
+        out = []
+        for k, (n, simple) in enumerate(zip(counts.tolist(), plain.tolist(), strict=True)):
+            out.append((numbers[k, len(back) - n :].tobytes() if simple else np.array(self.walk(raw[k], start[k].tolist(), via[k].tolist()), "<i4").tobytes(), ends[k]))
+        return out
+
+    def encode_many(self, texts: list[str]) -> list[tuple[np.ndarray, float]]:
+        """(ids, log score) of whole texts, with a marker put before each; an empty text has no ids."""
         known = self.known
         if len(known) > CACHE_ENTRIES:
             known.clear()
-        out, score = [], 0.0
-        for part in self.parts.findall(MARK + text.replace(" ", MARK)):
-            found = known.get(part)
-            if found is None:
-                ids, s = self.best_path(part)
-                found = np.array(ids, "<i4").tobytes(), s
-                if len(part) < 64:
-                    known[part] = found
-            out.append(found[0])
-            score += found[1]
-        return np.frombuffer(b"".join(out), "<i4"), score
+        parts = [self.parts.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        new = {p for own in parts for p in own if p not in known}
+        short = sorted((p for p in new if len(p) <= SHORT), key=len)
+        for i in range(0, len(short), TOGETHER):
+            some = short[i : i + TOGETHER]
+            known.update(zip(some, self.best_paths(some), strict=True))
+        rest = {}
+        for p in new:
+            if len(p) > SHORT:
+                ids, score = self.best_path(p)
+                rest[p] = np.array(ids, "<i4").tobytes(), score
+        out = []
+        for own in parts:
+            found = [known[p] if p in known else rest[p] for p in own] if rest else [known[p] for p in own]
+            out.append((np.frombuffer(b"".join([f[0] for f in found]), "<i4"), sum([f[1] for f in found])))
+        return out
+
+    def encode(self, text: str) -> tuple[np.ndarray, float]:
+        return self.encode_many([text])[0]
 
     def decode(self, ids) -> str:
         """The text of ``ids``: byte pieces are joined to characters, markers are spaces, the first marker goes; control pieces say nothing."""
@@ -237,7 +308,7 @@ def encode_documents(df: DataFrame, model_path: str, id_col: str = "doc_id", tex
         pieces = get()
         for whole in batches:
             for b in slices(whole, "text", 1 << 20):
-                found = [pieces.encode(x.decode("utf-8", "replace")) for x in text_values(b.column("text"))]
+                found = pieces.encode_many([x.decode("utf-8", "replace") for x in text_values(b.column("text"))])
                 offsets = np.cumsum([0, *(len(x) for x, _ in found)]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int32), *(x for x, _ in found)])))
                 yield pa.record_batch([b.column("doc_id"), ids, pa.array([s for _, s in found], pa.float64())], names=["doc_id", "ids", "score"])
