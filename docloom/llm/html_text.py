@@ -27,9 +27,10 @@ ARTICLE = frozenset("article main".split())
 CONTAINER = frozenset("article main section div body td table".split())
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 OUTSIDE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adbox|adsense|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|signup|login|sidebar|menu|nav|navbar|navigation|breadcrumbs?|footer|masthead|social|share|sharing|related|recommended|comments?|commentlist|disqus|respond|replies|widget|toolbar|pagination|pager|search)(?:$|[\s_-])",
+    r"(?:^|[\s_-])(?<!has[_-])(?<!with[_-])(?<!no[_-])(?:ads?|adbox|adsense|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|signup|login|sidebar|menu|nav|navbar|navigation|breadcrumbs?|footer|masthead|social|share|sharing|related|recommended|comments?|commentlist|disqus|respond|replies|widget|toolbar|pagination|pager|search)(?:$|\s|[_-](?!open|closed|free|enabled|disabled|layout|page))",
     re.IGNORECASE,
 )
+HEADER_NAMES = re.compile(r"(?:^|[\s_-])(?:header|topbar)(?:$|\s)", re.IGNORECASE)
 CLOSES_P = BLOCK
 
 SIGMA = 1.0
@@ -78,7 +79,7 @@ class Blocks(HTMLParser):
             region = self.regions
         if tag not in ("html", "body", "article", "main"):
             named = f"{given.get('class') or ''} {given.get('id') or ''}"
-            outside |= tag in OUTSIDE or tag == "header" and not article or (given.get("role") or "").lower() in OUTSIDE_ROLES or "hidden" in given or given.get("aria-hidden") == "true" or bool(named.strip() and OUTSIDE_NAMES.search(named))
+            outside |= tag in OUTSIDE or tag == "header" and not article or (given.get("role") or "").lower() in OUTSIDE_ROLES or "hidden" in given or given.get("aria-hidden") == "true" or bool(named.strip() and (OUTSIDE_NAMES.search(named) or not article and HEADER_NAMES.search(named)))
         self.open.append((tag, outside, region, article))
 
     def close_paragraph(self) -> None:

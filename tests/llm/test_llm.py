@@ -433,6 +433,8 @@ def test_merged_transforms_order_all_suffixes():
         ("<nav>menu</nav><main><p>One long line of text.</p><aside>side</aside><form>x<input></form></main><footer>f</footer>", "One long line of text."),
         ("<div class='ad'>buy</div><article><p>Text.<br>more</p><div id=comments>c</div><script>var t='</p>';</script></article>", "Text. more"),
         ("<body><div class='sidebar'><a>x</a><a>y</a></div><div><p>This page has no article but quite a lot of text here.</p><p>Short.</p></div></body>", "This page has no article but quite a lot of text here.\nShort."),
+        ("<div class='wrap has-sidebar'><div id='header'>site name</div><div class='body'><p>A paragraph with words enough to count.</p></div><div class='reader-comments'>nice</div></div>", "A paragraph with words enough to count."),
+        ("<article><div class='entry-header'><h1>T</h1></div><p>x</p></article><div class='site-notice'>n</div>", "T\nx"),
         ("<article><p>open <b>tags<p>go on", "open tags\ngo on"),
         ("<article><p>x &lt;b&gt; &#228; &eacute;</article>", "x <b> ä é"),
     ],
