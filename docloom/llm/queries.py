@@ -98,5 +98,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in found}
 
 
+#: Base 32 is spelled from the digest's bits, five for a letter.
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+s AS (SELECT page_id, octet_length(encode(h)) AS n, unhex(sha1(h))::BIT::VARCHAR AS b, min(page_id) OVER (PARTITION BY h) AS f FROM p)
+SELECT page_id, n AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(list_transform(range(5), lambda k: substr(b, i * 5 + k + 1, 1)::int * (16 >> k)))::int, 1)), '') AS payload_digest,
+  CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> f THEN f END AS refers_to
+FROM s
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL where it can express the whole result; tests hold the other queries against brute force."""
+    return {"op10_warc": WARC_SQL}
