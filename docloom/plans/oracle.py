@@ -63,7 +63,7 @@ MUST = r"(?i)\b(muss|must|required|shall)\b|\b(mindest|zwingend)"
 
 def stub(title: str, t: str, equivalence: str) -> str:
     sentence = rf"regexp_extract({t}, '^(.{{0,140}}?[.!?])(\s|$)', 1)"
-    return rf"""trim(coalesce({title}, CASE WHEN {sentence} <> '' THEN {sentence} ELSE left({t}, 140) END)) AS bullet_point,
+    return rf"""regexp_replace(coalesce({title}, CASE WHEN {sentence} <> '' THEN {sentence} ELSE left({t}, 140) END), '^\s+|\s+$', '', 'g') AS bullet_point,
   CASE WHEN regexp_matches({t}, '{OPTIONAL}') AND NOT regexp_matches({t}, '{MUST}') THEN 'optional' WHEN regexp_matches({t}, '{SHOULD}') THEN 'should' ELSE 'must' END AS priority,
   coalesce({equivalence}, CASE WHEN regexp_matches({t}, '(?i)\b(oder gleichwertig|or equivalent)\b') THEN true END) AS equivalence_allowed,
   CASE WHEN {title} <> '' AND length({t}) > 40 THEN 'high' ELSE 'medium' END AS confidence"""
