@@ -1 +1 @@
-"""Column functions: patterns and string helpers with the reference semantics."""
+"""Column functions: patterns and string helpers."""

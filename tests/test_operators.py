@@ -201,10 +201,10 @@ def test_coverage(spark):
 
 
 def test_files(spark):
-    names = ["LV_Fahrradgaragen (1).pdf", "Salzburg Laboratory Tender.pdf", "Tender_For_Christmas_Lights_Installation_2026.pdf", "Lageplan.pdf", "x.PDF"]
+    names = ["LV_Musterbau (1).pdf", "Harbour Laboratory Tender.pdf", "Tender_For_Winter_Lights_Installation_In_2026.pdf", "Lageplan.pdf", "x.PDF"]
     df = spark.createDataFrame([(f"/in/{n}", bytearray(b"")) for n in names], "path string, content binary")
     got = {r["filename"]: (r["file_id"], r["role_guess"]) for r in files.manifest(df).collect()}
-    assert [got[n] for n in names] == [("lv_fahrradgaragen_1", "main_lv"), ("salzburg_laboratory_tender", "main_lv"), ("tender_for_christmas_lights_installation", "main_lv"), ("lageplan", "annex"), ("x", "unknown")]
+    assert [got[n] for n in names] == [("lv_musterbau_1", "main_lv"), ("harbour_laboratory_tender", "main_lv"), ("tender_for_winter_lights_installation_in", "main_lv"), ("lageplan", "annex"), ("x", "unknown")]
 
 
 def test_config():
