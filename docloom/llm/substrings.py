@@ -42,6 +42,8 @@ POSITION_BITS = 18
 MERGE_BYTES = 4 << 20
 SHARDS = 4
 KEY_BYTES = 16 << 20
+#: Columns added to a caller's rows; names that no table has.
+ROW, PARTS = "__docloom_row", "__docloom_parts"
 #: Signatures that a task remembers so as not to ship equal segments again.
 SEEN = 200_000
 
@@ -307,25 +309,26 @@ def covered(length: int, parts: list[dict]) -> np.ndarray:
 
 
 def mark_repeats(docs: DataFrame, text_col: str = "text", key_bytes: int = KEY_BYTES) -> tuple[DataFrame, DataFrame]:
-    """(keyed, found): the rows of ``docs`` with a row number ``rid``; and (rid, parts) for the rows with repeats."""
+    """(keyed, found): the rows of ``docs`` with a row number ROW; and (ROW, PARTS) for the rows with repeats."""
     tune(docs.sparkSession)
-    keyed = materialize(docs.withColumn("rid", F.monotonically_increasing_id()).withColumn("__text", F.col(text_col).cast("string")), "texts")
-    texts = keyed.select("rid", F.col("__text").alias("text"))
+    keyed = materialize(docs.withColumn(text_col, F.col(text_col).cast("string")).withColumn(ROW, F.monotonically_increasing_id()), "texts")
+    texts = keyed.select(F.col(ROW).alias("rid"), F.col(text_col).alias("text"))
     rows = materialize(find_segments(texts), "segments")
-    again = rows.groupBy("key").count().filter("count > 1").select("key")
+    # Written out, so that the join has an exchange of its own on either side and a hot key's rows can be split.
+    again = materialize(rows.groupBy("key").count().filter("count > 1").select("key"), "again")
     cut = materialize(cut_segments(texts, rows.join(again, "key", "left_semi")), "cut")
     compared = materialize(compare_segments(cut, key_bytes), "compared")
     windows = compared.filter("mask is null").select("s1", "s2", "w1", "w2", "at")
-    twice = windows.groupBy("w1", "w2").count().filter("count > 1").select("w1", "w2")
+    twice = materialize(windows.groupBy("w1", "w2").count().filter("count > 1").select("w1", "w2"), "twice")
     hot = windows.join(twice, ["w1", "w2"], "left_semi").groupBy("s1", "s2").agg(F.collect_set("at").alias("ats"))
     number = F.aggregate("ats", F.expr("cast(repeat('0', 176) as string)"), lambda acc, x: F.overlay(acc, F.lit("1"), x + 1))
     digits = F.transform(F.sequence(F.lit(0), F.lit(21)), lambda i: F.lpad(F.conv(F.substring(number, i * 8 + 1, F.lit(8)), 2, 16), 2, "0"))
     masks = compared.filter("mask is not null").select("s1", "s2", "mask").unionByName(hot.select("s1", "s2", F.unhex(F.array_join(digits, "")).alias("mask")))
     masks = masks.groupBy("s1", "s2").agg(F.max("mask").alias("mask"))
     times = cut.groupBy("s1", "s2").count().filter("count > 1").select("s1", "s2", F.lit(True).alias("whole"))
-    verdict = masks.join(times, ["s1", "s2"], "full").select("s1", "s2", F.when(F.col("whole").isNull(), F.col("mask")).alias("mask"))
+    verdict = materialize(masks.join(times, ["s1", "s2"], "full").select("s1", "s2", F.when(F.col("whole").isNull(), F.col("mask")).alias("mask")), "verdict")
     found = cut.select("rid", "start", "size", "s1", "s2").join(verdict, ["s1", "s2"])
-    return keyed, found.groupBy("rid").agg(F.collect_list(F.struct("start", "size", "mask")).alias("parts"))
+    return keyed, found.groupBy(F.col("rid").alias(ROW)).agg(F.collect_list(F.struct("start", "size", "mask")).alias(PARTS))
 
 
 def removal_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_bytes: int = KEY_BYTES) -> DataFrame:
@@ -340,7 +343,7 @@ def removal_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for text, parts in zip(text_values(b.column("__text")), b.column("parts").to_pylist(), strict=True):
+            for text, parts in zip(text_values(b.column("text")), b.column("parts").to_pylist(), strict=True):
                 gone = covered(len(text), parts or [])
                 kept = np.frombuffer(text, np.uint8)[~gone].tobytes() if parts else text
                 spans = int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum())
@@ -349,7 +352,7 @@ def removal_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.record_batch([b.column("doc_id"), *columns], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     kind = dict(keyed.dtypes)["doc_id"]
-    return keyed.select("rid", "doc_id", "__text").join(found, "rid", "left").select("doc_id", "__text", "parts").mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return keyed.join(found, ROW, "left").select("doc_id", "text", F.col(PARTS).alias("parts")).mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", key_bytes: int = KEY_BYTES) -> DataFrame:
@@ -370,4 +373,4 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", key_bytes: int = KEY
             out.append(np.frombuffer(raw, np.uint8)[~covered(len(raw), list(parts))].tobytes().decode("utf-8", "ignore"))
         return pd.Series(out)
 
-    return keyed.join(found, "rid", "left").withColumn(text_col, without("__text", "parts")).select(*docs.columns)
+    return keyed.join(found, ROW, "left").withColumn(text_col, without(F.col(text_col), F.col(PARTS))).select(*docs.columns)
