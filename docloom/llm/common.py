@@ -6,7 +6,8 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Arrow batches handed to Python: rows and bytes at most. A longer single row still travels whole.
 BATCH_ROWS = 2000
@@ -60,3 +61,15 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator
         total += n
     if begin < len(sizes):
         yield batch.slice(begin)
+
+
+def hash_sample(df: DataFrame, n: int, key: Column) -> DataFrame:
+    """At most ``n`` rows of ``df``, the first by a hash of ``key``.
+
+    The rows are counted and only hashes below a share that fits about four times ``n`` rows are sorted, so what meets in
+    one task doesn't grow with the number of partitions. Rows with equal keys share a hash.
+    """
+    h, total = F.xxhash64(key), df.count()
+    if total > 4 * n:
+        df = df.filter(h < int(4 * n / total * 2**64) - 2**63)
+    return df.orderBy(h).limit(n)

@@ -12,6 +12,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import hash_sample
+
 # Patterns of the base kinds, in the order in which kinds are listed.
 ASSIGN = r"(?:(?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 ACCESS = r"AKIA[A-Z0-9]{16,}"
@@ -29,6 +31,7 @@ LEAST_MEAN = 0.7
 #: Bounds of the labelled sample: generated random strings, and documents whose words are ordinary identifiers.
 SAMPLE_STRINGS = 2000
 SAMPLE_DOCS = 2000
+SAMPLE_WORDS = 2000
 
 
 def found_spans(text: Column, pattern: str, kind: int, value_group: int = 0, least: int = 0) -> Column:
@@ -55,15 +58,17 @@ def labelled_samples(spark: SparkSession, docs: DataFrame, text_col: str = "text
     """(value, secret): bounded labelled samples.
 
     Secrets are ``SAMPLE_STRINGS`` each of base64 and mixed digests of a counter. Ordinary are the words of 6 or more
-    token characters of at most ``SAMPLE_DOCS`` documents, the first by a hash of the text, that have no base match.
+    token characters, ``SAMPLE_WORDS`` at most of each, of those of ``SAMPLE_DOCS`` documents, the first by a hash of the
+    text, that have no base match.
     """
     digest = F.sha2(F.concat(F.lit("sample"), F.col("id").cast("string")).cast("binary"), 256)
     code = F.rtrim(F.base64(F.unhex(digest)))
     random = spark.range(SAMPLE_STRINGS).select(F.explode(F.array(code, F.regexp_replace(code, "[+/=]", ""), F.translate(code, "+/=", "_-_"))).alias("value"), F.lit(True).alias("secret"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    clean = docs.select(text.alias("text")).filter(~(F.col("text").rlike(ASSIGN) | F.col("text").rlike(ACCESS) | F.col("text").rlike(HEX)))
-    few = clean.select(F.xxhash64("text").alias("h"), F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=-]{6,}"), F.lit(0)).alias("words"))
-    few = few.select("h", F.slice("words", 1, 2000).alias("words")).orderBy("h").limit(SAMPLE_DOCS)
+    words = F.slice(F.regexp_extract_all(text, F.lit(r"[A-Za-z0-9+/_=-]{6,}"), F.lit(0)), 1, SAMPLE_WORDS)
+    base = text.rlike(ASSIGN) | text.rlike(ACCESS) | text.rlike(HEX)
+    # The filter on the key moves below this projection, so words are cut of few texts only.
+    few = hash_sample(docs.select(F.xxhash64(text).alias("key"), words.alias("words"), base.alias("base")), SAMPLE_DOCS, F.col("key")).filter("NOT base")
     return random.unionByName(few.select(F.explode("words").alias("value"), F.lit(False).alias("secret")))
 
 
