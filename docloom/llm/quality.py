@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_values, tune
+from .common import hash_sample, slices, text_values, tune
 
 #: The sample: labelled documents of each class at most, and lines of each that are used to fit (scores use all lines).
 SAMPLE_DOCS = 1500
@@ -35,7 +35,7 @@ CLASSES[ord("|")] = BAR
 CLASSES[list(b"!?")] = MARK
 CLASSES[list(b" \t\r\x0b\x0c")] = SPACE
 CLASSES[128:] = LOWERCASE
-OWN = 13
+OWN = 14
 
 
 def line_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -57,8 +57,10 @@ def line_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
         if n:
             out[i, LOWERCASE] = n / (5 + n)
             out[i, 7] = 1 - len(set(words)) / n if n > 3 else 0.0
+            # Pairs of words: unlike single words, a long line of ordinary text repeats few of them.
+            out[i, 13] = 1 - len(set(zip(words, words[1:], strict=False))) / (n - 1) if n > 3 else 0.0
             out[i, 8] = min(sizes[i] / n, 30) / 10
-            out[i, 9] = line[-1:] in b".?:;"
+            out[i, 9] = min(1.0, (line.count(b".") + line.count(b",")) / n)
             out[i, 10] = line in seen
             out[i, 11] = sum(w == v for w, v in zip(words, words[1:], strict=False)) / n
             seen.add(line)
@@ -154,8 +156,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     Labels other than 0 and 1, null ids and null labels are left out. A label row repeated or an id repeated in ``docs``
     is one sample for each pair of rows.
     """
-    usable = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).filter((fold("id") != held_out) & F.col("y").isin(0, 1)).withColumn("h", F.xxhash64("id"))
-    picked = usable.filter("y = 0").orderBy("h").limit(SAMPLE_DOCS).unionByName(usable.filter("y = 1").orderBy("h").limit(SAMPLE_DOCS))
+    usable = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).filter((fold("id") != held_out) & F.col("y").isin(0, 1))
+    picked = hash_sample(usable.filter("y = 0"), SAMPLE_DOCS, F.col("id")).unionByName(hash_sample(usable.filter("y = 1"), SAMPLE_DOCS, F.col("id")))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     sample = texts.join(F.broadcast(picked.select("id", "y")), "id")
 
