@@ -24,7 +24,7 @@ from .common import materialize, slices, text_values, tune
 #: Pre-token strings whose ids a Python worker remembers.
 CACHE_ENTRIES = 300_000
 #: Pieces of one length that are ranked in one group.
-RANK_ROWS = 4096
+RANK_ROWS = 512
 
 
 @lru_cache(maxsize=2)
