@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, tune
+from .common import hash_sample, materialize, tune
 
 # Fixed values of the archive format.
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -121,11 +121,13 @@ def archive_pages(df: DataFrame, id_col: str = "page_id", url_col: str = "url",
     big = keyed.filter(F.col("size") >= least).select("sha", "page_id", "row")
     # Only digests that occur again matter; the others need no join partner.
     first = big.groupBy("sha").agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "row")).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    first = first.select("sha", F.col("first.page_id").alias("first_id"), F.col("first.row").alias("first_row"))
+    # Written out, so that the join has an exchange of its own on either side and a hot digest's rows can be split.
+    first = materialize(first.select("sha", F.col("first.page_id").alias("first_id"), F.col("first.row").alias("first_row")), "first")
     linked = keyed.join(first, "sha", "left")
     again = (F.col("size") >= least) & F.col("first_row").isNotNull() & (F.col("row") != F.col("first_row"))
     ready = linked.select("page_id", "url", F.when(~again, F.col("payload")).alias("payload"), "size", F.col("sha").alias("sha"), F.when(again, F.col("first_id")).alias("refers_to"), again.alias("revisit"))
-    sample = keyed.select("page_id", "url", F.substring("payload", 1, SAMPLE_BYTES).alias("payload"), "size").orderBy(F.xxhash64("page_id"), "row").limit(SAMPLE_RECORDS).collect()
+    heads = keyed.select("page_id", "url", F.substring("payload", 1, SAMPLE_BYTES).alias("payload"), "size", "row")
+    sample = hash_sample(heads, SAMPLE_RECORDS, F.col("row")).collect()  # bounded by SAMPLE_RECORDS and SAMPLE_BYTES
     dictionary = train_dictionary([record(r.page_id, r.url, r.payload.encode(), "", r.size, None) for r in sample])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
