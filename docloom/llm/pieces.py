@@ -264,7 +264,7 @@ class Pieces:
 
     def decode(self, ids) -> str:
         """The text of ``ids``: byte pieces are joined to characters, markers are spaces, the first marker goes; control pieces say nothing."""
-        raw = b"".join(self.surface()[i] for i in ids)
+        raw = b"".join(map(self.surface().__getitem__, ids))
         text = raw.decode("utf-8", "replace").replace(MARK, " ")
         return text.removeprefix(" ")
 
