@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import packing, quality, secrets, simhash, substrings
+from docloom.llm import packing, quality, secrets, similar, substrings
 from docloom.llm.common import shared_dir
 from docloom.llm.queries import table, tokenizer_file
 
@@ -22,8 +22,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest doc_id stays."""
-    return simhash.keep_one(docs)
+    """Of each group joined by a similarity of at least 0.8 of five-word shingles the document with the smallest doc_id stays."""
+    return similar.keep_one(docs)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from docloom.llm import components, html_text, media, packing, pieces, quality, queries, repetition, secrets, simhash, substrings, warc
+from docloom.llm import components, html_text, media, packing, pieces, quality, queries, repetition, secrets, simhash, similar, substrings, warc
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the generated tables")
@@ -356,6 +356,65 @@ def test_simhash_edges(spark, edge):
     assert kept.columns == edge.columns and kept.count() == len({c for _, c in by_id.values()})
 
 
+# Near duplicates of the pipeline
+
+
+def brute_similar(texts):
+    """Components, as lists of positions, of texts with a Jaccard similarity of 0.8 or more."""
+    sets = []
+    for t in texts:
+        words = re.findall(r"[^\x20\x09-\x0D]+", t.translate({c: c + 32 for c in range(65, 91)}))
+        sets.append(frozenset(" ".join(words[i : i + 5]) for i in range(len(words) - 4)) or frozenset([" ".join(words)] if words else []))
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        a, b = sets[i], sets[j]
+        if a == b or 5 * min(len(a), len(b)) >= 4 * max(len(a), len(b)) and 5 * len(a & b) >= 4 * len(a | b):
+            x, y = sorted((find(i), find(j)))
+            root[y] = x
+    found = collections.defaultdict(list)
+    for i in range(len(sets)):
+        found[find(i)].append(i)
+    return list(found.values())
+
+
+@needs_tables
+def test_pipeline_keeps_one_of_similar_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = docs.collect()
+    want = sorted(min(rows[i]["doc_id"] for i in part) for part in brute_similar([r["text"] or "" for r in rows]))
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == want
+
+
+def test_similar_texts_of_many_edits(spark):
+    rng = random.Random(8)
+    texts = []
+    for _ in range(12):
+        words = [f"w{rng.randrange(400)}" for _ in range(rng.choice((6, 40, 120)))]
+        for _ in range(25):
+            words = list(words)
+            for _ in range(rng.randint(0, 2)):
+                words[rng.randrange(len(words))] = f"e{rng.randrange(50)}"
+            texts.append(" ".join(words))
+    texts += ["", " ", "one two", "One  two"]
+    order = rng.sample(range(len(texts)), len(texts))
+    df = spark.createDataFrame([(n, texts[i]) for n, i in enumerate(order)], "doc_id long, text string")
+    want = sorted(min(part) for part in brute_similar([texts[i] for i in order]))
+    assert sorted(r["doc_id"] for r in similar.keep_one(df).collect()) == want
+
+
+def test_similar_texts_by_place_not_id(spark):
+    rows = [(None, "one"), (None, "two"), (5, "three"), (5, "four"), (5, "two"), (None, "three"), (6, "one")]
+    got = similar.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(tuple(r) for r in got.collect()) == [(5, "four"), (5, "three"), (5, "two"), (6, "one")]
+
+
 # 7 repeated strings
 
 
