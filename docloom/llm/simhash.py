@@ -29,6 +29,7 @@ from .components import components
 BITS = 64
 SEED = 42
 SPREAD_PIVOTS = 16
+ROW = "docloom_row"
 #: Shingles whose bits are counted at once.
 COUNT_ROWS = 1 << 16
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -190,10 +191,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 3) -> DataFrame:
-    """The rows of ``df``, with all their columns, whose id is the smallest of their near-duplicate component.
+    """One row of ``df``, with all its columns, for each near-duplicate component: a row with the component's smallest id.
 
-    One row stays for each component: of rows repeated with that id, any one. A component whose ids are all null keeps one.
+    Null ids come after all others. Rows are told apart by their place, so unlike texts with a repeated or null id all stay.
     """
-    found = near_duplicates(df, id_col, text_col, width, radius)
-    kept = found.select("component_id").distinct()
-    return df.join(kept, df[id_col].eqNullSafe(kept["component_id"]), "left_semi").dropDuplicates([id_col])
+    tune(df.sparkSession)
+    keyed = materialize(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    prints = materialize(fingerprints(keyed, ROW, text_col, width), "prints")
+    found = prints.join(groups(prints, radius), "fp").select(F.col("doc_id").alias(ROW), "component_id")
+    place = F.struct(F.col("id").isNull(), F.col("id"), F.col(ROW).alias("row"))
+    first = found.join(keyed.select(ROW, F.col(id_col).alias("id")), ROW).groupBy("component_id").agg(F.min(place).alias("first"))
+    return keyed.join(first.select(F.col("first.row").alias(ROW)), ROW, "left_semi").select(*df.columns)

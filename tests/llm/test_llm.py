@@ -356,6 +356,12 @@ def test_simhash_edges(spark, edge):
     assert kept.columns == edge.columns and kept.count() == len({c for _, c in by_id.values()})
 
 
+def test_keep_one_by_place_not_id(spark):
+    rows = [(None, "one"), (None, "two"), (5, "three"), (5, "four"), (5, "two"), (None, "three"), (6, "one")]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(tuple(r) for r in got.collect()) == [(5, "four"), (5, "three"), (5, "two"), (6, "one")]
+
+
 # Near duplicates of the pipeline
 
 
