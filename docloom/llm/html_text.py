@@ -137,7 +137,7 @@ def threshold(values: np.ndarray) -> float:
 def main_text(html: str) -> str:
     """The page's content blocks, joined by newlines; empty if it has none.
 
-    If there are articles with text they are the content. Otherwise each region whose smoothed ratio reaches the threshold.
+    Each region whose smoothed ratio reaches the threshold is content, articles and other containers alike.
     """
     parser = Blocks()
     for i in range(0, len(html), FEED):
@@ -148,8 +148,7 @@ def main_text(html: str) -> str:
     ratios = smoothed(np.array([len(text) / (tags + 1) for _, _, text, tags in blocks]))
     cut = threshold(ratios)
     dense = {region for (region, _, _, _), value in zip(blocks, ratios.tolist(), strict=True) if value >= cut}
-    articles = {region for region, article, _, _ in blocks if article}
-    chosen = articles or dense
+    chosen = dense
     return "\n".join(text for region, _, text, _ in blocks if region in chosen)
 
 

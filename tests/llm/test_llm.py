@@ -508,6 +508,12 @@ def test_main_text(page, text):
     assert html_text.main_text(page or "") == text
 
 
+def test_dense_text_beside_teaser_articles():
+    body = ["A paragraph of the page's own text, which is long and has hardly any tags in it. " * 3 for _ in range(5)]
+    page = "".join(f"<article><a><b>Card</b> <i>{i}</i></a></article>" for i in range(6)) + "<div>" + "".join(f"<p>{x}</p>" for x in body) + "</div>"
+    assert html_text.main_text(page).endswith("\n".join(x.strip() for x in body)) and "Card 0" not in html_text.main_text(page)
+
+
 @needs_tables
 def test_extract_equals_article(spark):
     for r in html_text.extract(spark.read.parquet(f"{SF}/pages.parquet")).join(spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "html"), "page_id").collect():
