@@ -23,10 +23,10 @@ DICTIONARY_MAGIC = 0x184D2A5D
 VERSION = b"WARC/1.1"
 NO_DATE = "1970-01-01T00:00:00Z"
 
-#: The dictionary's size, and how many records and bytes of records it is built from.
+#: The dictionary's size, and how many whole records it is built from at most, in number and in bytes together.
 DICTIONARY_BYTES = 32 << 10
 SAMPLE_RECORDS = 200
-SAMPLE_BYTES = 8 << 10
+SAMPLE_BYTES = 4 << 20
 #: Bytes of records in an archive, before compression; a longer record has an archive of its own.
 ARCHIVE_BYTES = 8 << 20
 LEVEL = 3
@@ -126,8 +126,12 @@ def archive_pages(df: DataFrame, id_col: str = "page_id", url_col: str = "url",
     linked = keyed.join(first, "sha", "left")
     again = (F.col("size") >= least) & F.col("first_row").isNotNull() & (F.col("row") != F.col("first_row"))
     ready = linked.select("page_id", "url", F.when(~again, F.col("payload")).alias("payload"), "size", F.col("sha").alias("sha"), F.when(again, F.col("first_id")).alias("refers_to"), again.alias("revisit"))
-    heads = keyed.select("page_id", "url", F.substring("payload", 1, SAMPLE_BYTES).alias("payload"), "size", "row")
-    sample = hash_sample(heads, SAMPLE_RECORDS, F.col("row")).collect()  # bounded by SAMPLE_RECORDS and SAMPLE_BYTES
+    room, rows = SAMPLE_BYTES, []
+    for r in hash_sample(keyed.select("row", "size"), SAMPLE_RECORDS, F.col("row")).collect():
+        if r["size"] <= room:
+            room -= r["size"]
+            rows.append(r["row"])
+    sample = keyed.filter(F.col("row").isin(rows)).orderBy("row").collect() if rows else []  # bounded by SAMPLE_RECORDS and SAMPLE_BYTES
     dictionary = train_dictionary([record(r.page_id, r.url, r.payload.encode(), "", r.size, None) for r in sample])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +153,9 @@ def archive_pages(df: DataFrame, id_col: str = "page_id", url_col: str = "url",
 def read_archives(archives: DataFrame) -> DataFrame:
     """A row for each record: page_id (long), url, payload_bytes, payload_digest, record_type, refers_to (long), payload (null for a revisit).
 
-    A response's payload is checked against its digest and length.
+    A response's payload is checked against its digest and length; an archive that was damaged raises an error. Records
+    written with a null id have a null page_id, a null url is empty; ids that are no whole numbers raise an error. Repeated
+    records stay; no archives give no rows; other columns are not read.
     """
     tune(archives.sparkSession)
     number = lambda x: int(m) if (m := x.removeprefix("<urn:page:").removesuffix(">")) not in ("", "None") else None
