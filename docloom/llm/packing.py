@@ -10,6 +10,7 @@ for each length. Pieces then take their slot by their rank among pieces of their
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,12 +30,16 @@ RANK_ROWS = 512
 
 @lru_cache(maxsize=2)
 def byte_bpe(path: str):
-    """Encoder of a byte-level BPE file of the tokenizers library; special strings in a text are ordinary text."""
+    """(encoder of a byte-level BPE file of the tokenizers library, ids of its added tokens by their strings)."""
     import public_tokenizers
     import tiktoken
 
     with open(path, encoding="utf-8") as f:
-        vocabulary = json.load(f)["model"]["vocab"]
+        content = json.load(f)
+    vocabulary = content["model"]["vocab"]
+    added = content.get("added_tokens") or []
+    if any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip")):
+        raise ValueError("added tokens that look at what stands beside them aren't supported")
     # Byte-level files spell bytes as printable characters: these keep themselves, the others follow from 256 on.
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     spelled = {chr(b): b for b in plain}
@@ -44,18 +49,22 @@ def byte_bpe(path: str):
     for piece, rank in vocabulary.items():
         if all(c in spelled for c in piece):
             ranks[bytes(spelled[c] for c in piece)] = rank
-    return tiktoken.Encoding("byte-bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("byte-bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}), {t["content"]: t["id"] for t in added}
 
 
 class Tokenizer:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
-    The pre-tokenizer never joins text across a space that a visible character follows, so the parts between
-    such spaces are encoded alone and remembered; the memory is emptied at ``CACHE_ENTRIES``.
+    Added tokens in a text are cut out first, as the library does, the leftmost and then the longest. In the rest, the
+    pre-tokenizer never joins text across a space that a visible character follows, so the parts between such spaces are
+    encoded alone and remembered; the memory is emptied at ``CACHE_ENTRIES``.
     """
 
     def __init__(self, path: str):
-        self.encoder, self.known = byte_bpe(path), {}
+        self.encoder, added = byte_bpe(path)
+        self.known: dict[str, bytes] = {}
+        self.added = {k: np.array([v], dtype="<u4").tobytes() for k, v in added.items() if k}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
 
     def part(self, text: str) -> bytes:
         ids = self.encoder.encode_ordinary(text)
@@ -72,6 +81,11 @@ class Tokenizer:
         return out
 
     def encode(self, text: str) -> bytes:
+        if self.cut and self.cut.search(text):
+            return b"".join(self.added[x] if x in self.added else self.plain(x) for x in self.cut.split(text) if x)
+        return self.plain(text)
+
+    def plain(self, text: str) -> bytes:
         known, out = self.known, []
         if len(known) > CACHE_ENTRIES:
             known.clear()
