@@ -15,17 +15,24 @@ BATCH_BYTES = 16 << 20
 
 
 def tune(spark: SparkSession) -> None:
-    """Keep Arrow batches small enough for an executor's Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    """Keep Arrow batches small enough for an executor's Python worker.
+
+    Results are lazy, so the settings stay when an operator returns. A caller's smaller batches are kept.
+    """
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        found = str(spark.conf.get(key))
+        if not found.isdigit() or not 0 < int(found) <= most:
+            spark.conf.set(key, str(most))
     # Shuffle files of a finished step go at once: what later steps read has been written to the shared folder.
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local default only where none is configured (tests)."""
+    """The folder that driver and executors share; a local default only on a local master without one (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "/tmp/docloom-checkpoints"
     return found.rstrip("/")
 
@@ -38,7 +45,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/docloom-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.docloom_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete materialized tables that only tables written since were made of."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.docloom_path)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def text_values(column: pa.Array) -> list[bytes]:

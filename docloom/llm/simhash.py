@@ -1,15 +1,19 @@
 """SimHash near-duplicate groups by pivot distance tables.
 
-A pivot is a reference fingerprint; a table row holds a fingerprint's Hamming distances to the pivots. Hamming
+A pivot is a reference fingerprint; a row of the table holds a fingerprint's Hamming distances to the pivots. Hamming
 distance is a metric, so two fingerprints within ``radius`` differ by at most ``radius`` in every coordinate: a pair with
 a larger coordinate difference is discarded and only the survivors are compared bit by bit.
 
-Two kinds of pivots are used. The *unit* pivots are zero and the 64 one-bit fingerprints. With d0 the distance to zero
-and di the distance to the i-th of them, d0 - di is 1 or -1 as the fingerprint has that bit or not, so unit coordinates
-of a band of bits are equal exactly where the fingerprints agree in the band. ``radius`` changes reach at most ``radius`` of
-``radius + 2`` bands: every pair to be found agrees in the coordinates of two whole bands. That makes the equi-join of
-the table (10 keys of about 26 bits for radius 3). Within a key's bucket the *spread* pivots, pseudo-random fingerprints,
-order the rows and discard pairs. Buckets give spanning links, not all pairs.
+The table has two kinds of pivots. The *unit* pivots are zero and the 64 one-bit fingerprints. Their coordinates make the
+equi-join: ``radius`` changes reach at most ``radius`` of ``radius + 2`` bands of bits, and the distances to zero and to a band's
+one-bit pivots differ alike for two fingerprints exactly where they agree in the band. So every pair to be found has two
+bands' coordinates in common, which makes cells (10 of about 26 bits for radius 3). Within a cell the *spread* pivots,
+pseudo-random fingerprints, order the rows and discard pairs. Cells give spanning links, not all pairs; a cell with many
+rows is dealt out in parts, every two of which meet in a task.
+
+``near_duplicates`` groups by fingerprints alone. ``keep_one`` is for texts of a given Jaccard similarity, which no radius
+can promise: pairs from the table are verified shingle by shingle, and what the radius can't reach is completed by
+the exact join of ``similar.py``.
 """
 
 from __future__ import annotations
@@ -23,43 +27,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, slices, text_values, tune
+from . import similar
+from .common import discard, materialize, slices, text_values, tune
 from .components import components
+from .shingles import BITS, SEED, fingerprint, shingle_hashes
 
-BITS = 64
-SEED = 42
 SPREAD_PIVOTS = 16
-ROW = "docloom_row"
-#: Shingles whose bits are counted at once.
-COUNT_ROWS = 1 << 16
-LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-
-
-def shingle_hashes(text: bytes, width: int = 3) -> np.ndarray:
-    """XXH64 of every shingle of ``width`` words, repeats included; of the whole sequence if there are fewer words."""
-    words = text.translate(LOWER).split()
-    if not words:
-        return np.empty(0, np.uint64)
-    joined = b" ".join(words)
-    if len(words) < width:
-        return np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
-    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    ends = np.cumsum(sizes)
-    begins = (ends - sizes)[: len(words) - width + 1].tolist()
-    digest = xxhash.xxh64_intdigest
-    found = [digest(joined[b:e], SEED) for b, e in zip(begins, (ends[width - 1 :] - 1).tolist(), strict=True)]
-    return np.array(found, np.uint64)
-
-
-def fingerprint(text: bytes, width: int = 3) -> int:
-    """Bit i is 1 if it is set in over half of the shingle hashes; zero without words."""
-    hashes = shingle_hashes(text, width)
-    counts = np.zeros(BITS, np.int64)
-    for i in range(0, len(hashes), COUNT_ROWS):
-        part = np.ascontiguousarray(hashes[i : i + COUNT_ROWS])
-        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0])
+#: Rows of a cell's parts.
+CELL_ROWS = 2000
 
 
 def fingerprints(df: DataFrame, id_col: str, text_col: str, width: int = 3) -> DataFrame:
@@ -68,35 +43,48 @@ def fingerprints(df: DataFrame, id_col: str, text_col: str, width: int = 3) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, "text"):
-                found = np.array([fingerprint(x, width) for x in text_values(b.column("text"))], np.uint64)
+                found = np.array([fingerprint(shingle_hashes(x, width)) for x in text_values(b.column("text"))], np.uint64)
                 yield pa.record_batch([b.column("doc_id"), pa.array(found.view(np.int64), pa.int64())], names=["doc_id", "fp"])
 
     kind = dict(df.dtypes)[id_col]
     return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, fp long")
 
 
-def band_masks(radius: int) -> list[int]:
-    """Masks of every two of ``radius + 2`` bands, as signed 64-bit numbers."""
+def bands(radius: int) -> list[range]:
+    """The bits of ``radius + 2`` bands."""
     edges = [round(i * BITS / (radius + 2)) for i in range(radius + 3)]
-    bands = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:], strict=False)]
-    return [m - (1 << BITS) if (m := x | y) >> (BITS - 1) else m for x, y in combinations(bands, 2)]
+    return [range(a, b) for a, b in zip(edges, edges[1:], strict=False)]
 
 
 def spread_pivots() -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(b"pivot %d" % i, SEED) for i in range(SPREAD_PIVOTS)], np.uint64)
 
 
-def pivot_table(fps: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(fps[:, None] ^ pivots[None, :]).astype(np.int8)
+def distance(fp: Column, pivot: int) -> Column:
+    return F.bit_count(fp.bitwiseXOR(F.lit(pivot - (1 << BITS) if pivot >> (BITS - 1) else pivot)))
+
+
+def pivot_table(distinct: DataFrame, radius: int) -> DataFrame:
+    """(fp, bands, spread): the coordinates of each fingerprint.
+
+    A band's number has a digit for each of its unit pivots: whether it is nearer than zero is, or farther. ``spread`` has the
+    distances to the spread pivots.
+    """
+    fp = F.col("fp")
+    zero = distance(fp, 0)
 
+    def number(band: range) -> Column:
+        return sum((F.shiftleft(((zero - distance(fp, 1 << i) + 1) / 2).cast("long"), i - band[0]) for i in band), F.lit(0).cast("long"))
 
-def bucket_links(fps: np.ndarray, pivots: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Spanning links among one bucket's distinct fingerprints (pairs of positions).
+    return distinct.select("fp", F.array(*map(number, bands(radius))).alias("bands"), F.array(*(distance(fp, int(p)).cast("byte") for p in spread_pivots())).alias("spread"))
+
+
+def cell_links(fps: np.ndarray, table: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Spanning links among distinct fingerprints (pairs of positions); ``table``: their coordinates.
 
     Breadth first: a fingerprint taken from the queue is compared with those not yet reached, of which the first pivot's
     order leaves a window and the others discard more. What has been reached is never compared again.
     """
-    table = pivot_table(fps, pivots)
     order = np.argsort(table[:, 0], kind="stable")
     fps_o, table_o = fps[order], table[order]
     left = np.arange(len(fps))
@@ -118,50 +106,57 @@ def bucket_links(fps: np.ndarray, pivots: np.ndarray, radius: int) -> list[tuple
     return links
 
 
-def near_links(distinct: DataFrame, radius: int = 3) -> DataFrame:
+def near_links(distinct: DataFrame, radius: int = 3, cell_rows: int = CELL_ROWS) -> DataFrame:
     """(a, b): links that span every group of the distinct fingerprints ``fp`` joined by at most ``radius`` bits."""
-    pivots = spread_pivots()
-    keys = F.explode(F.array(*(F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("k")) for i, m in enumerate(band_masks(radius)))))
-    rows = distinct.select("fp", keys.alias("key")).select("key.t", "key.k", "fp")
+    table = materialize(pivot_table(distinct, radius), "pivots")
+    pairs = F.array(*(F.struct(F.lit(t).alias("t"), F.element_at("bands", i + 1).alias("x"), F.element_at("bands", j + 1).alias("y")) for t, (i, j) in enumerate(combinations(range(radius + 2), 2))))
+    rows = table.select("fp", "spread", F.explode(pairs).alias("c")).select("c.*", "fp", "spread")
+    cell = ["t", "x", "y"]
+    hot = materialize(rows.groupBy(*cell).agg(F.count("*").alias("n")).filter(F.col("n") > cell_rows).select(*cell, F.ceil(F.col("n") / cell_rows).alias("parts")), "hot")
+    own = F.pmod(F.xxhash64("fp"), F.col("parts"))
+    # Every two parts of a hot cell meet; the parts' rows go to as many tasks as there are parts.
+    met = F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda o: F.least(own, o) * F.col("parts") + F.greatest(own, o))))
+    rows = rows.join(hot, cell, "left").select(*cell, met.alias("m"), "fp", "spread") if hot.take(1) else rows.select(*cell, F.lit(0).cast("long").alias("m"), "fp", "spread")
+    cell.append("m")
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartition(n, "t", "k").sortWithinPartitions("t", "k")
+    dealt = rows.repartition(n, *cell).sortWithinPartitions(*cell)
+
+    def cut(held: pa.Table, last: bool) -> tuple[list, pa.Table]:
+        """Links of the whole cells; the rows of the last one are handed back if more may come."""
+        keys = [held.column(c).to_numpy() for c in cell]
+        changed = np.zeros(len(held) - 1, bool)
+        for k in keys:
+            changed |= k[1:] != k[:-1]
+        begins = np.flatnonzero(np.r_[True, changed])
+        ends = np.r_[begins[1:], len(held)]
+        fps = held.column("fp").to_numpy().view(np.uint64)
+        spread = held.column("spread").combine_chunks().flatten().to_numpy().reshape(-1, SPREAD_PIVOTS)
+        found = []
+        for b, e in zip(begins[: len(begins) - (not last)].tolist(), ends.tolist(), strict=False):
+            if e - b > 1:
+                found += [(fps[b + x], fps[b + y]) for x, y in cell_links(fps[b:e], spread[b:e], radius)]
+        return found, held.slice(len(held) if last else begins[-1])
+
+    def out(found: list) -> pa.RecordBatch:
+        both = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
+        return pa.record_batch([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-
-        def cut(t: np.ndarray, k: np.ndarray, fp: np.ndarray, last: bool) -> tuple[list, tuple]:
-            """Links of the whole buckets; what may go on in the next batch is handed back."""
-            begins = np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (k[1:] != k[:-1])])
-            ends = np.r_[begins[1:], len(t)]
-            whole = len(begins) if last else len(begins) - 1
-            found = []
-            several = np.flatnonzero(ends[:whole] - begins[:whole] > 1)
-            for i in several.tolist():
-                part = fp[begins[i] : ends[i]].view(np.uint64)
-                found += [(part[x], part[y]) for x, y in bucket_links(part, pivots, radius)]
-            at = len(t) if last else begins[-1]
-            return found, (t[at:], k[at:], fp[at:])
-
-        def out(found: list) -> pa.RecordBatch:
-            pairs = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
-            return pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-
+        held: list[pa.RecordBatch] = []
+        same = lambda x, y: all(x.column(c)[0] == y.column(c)[-1] for c in cell)
         for b in batches:
             if b.num_rows:
-                new = [b.column(c).to_numpy(zero_copy_only=False) for c in ("t", "k", "fp")]
-                if held and (new[0][0], new[1][0]) == (new[0][-1], new[1][-1]) == (held[0][0][-1], held[0][1][-1]):
-                    held.append(new)  # the same bucket goes on
-                    continue
-                found, rest = cut(*(np.concatenate(x) for x in zip(*held, new, strict=True)), last=False)
-                held = [rest]
-                if found:
+                held.append(b)
+                if not same(held[0], b):
+                    found, rest = cut(pa.Table.from_batches(held), last=False)
+                    held = rest.to_batches()
                     yield out(found)
         if held:
-            found, _ = cut(*(np.concatenate(x) for x in zip(*held, strict=True)), last=True)
-            if found:
-                yield out(found)
+            yield out(cut(pa.Table.from_batches(held), last=True)[0])
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    links = materialize(dealt.mapInArrow(run, "a long, b long").distinct(), "links")
+    discard(table, hot)
+    return links
 
 
 def groups(prints: DataFrame, radius: int = 3) -> DataFrame:
@@ -190,15 +185,29 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return prints.join(groups(prints, radius), "fp").select("doc_id", as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 3) -> DataFrame:
-    """One row of ``df``, with all its columns, for each near-duplicate component: a row with the component's smallest id.
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = similar.WIDTH, least: tuple[int, int] = similar.SIMILARITY, radius: int = 3) -> DataFrame:
+    """One row of ``df``, with all its columns, for each group of near duplicates: a row with the group's smallest id.
 
-    Null ids come after all others. Rows are told apart by their place, so unlike texts with a repeated or null id all stay.
+    A group is what similar texts join, over any number of steps; similar are texts whose sets of ``width``-word shingles
+    (of all words if there are fewer) have a Jaccard similarity of ``least`` (a fraction) or more. Null and wordless texts
+    are one group. Null ids come after all others. Rows are told apart by their place, so unlike texts with a repeated or
+    null id all stay. An empty table stays empty; columns are kept whatever their names are.
     """
     tune(df.sparkSession)
-    keyed = materialize(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
-    prints = materialize(fingerprints(keyed, ROW, text_col, width), "prints")
-    found = prints.join(groups(prints, radius), "fp").select(F.col("doc_id").alias(ROW), "component_id")
-    place = F.struct(F.col("id").isNull(), F.col("id"), F.col(ROW).alias("row"))
-    first = found.join(keyed.select(ROW, F.col(id_col).alias("id")), ROW).groupBy("component_id").agg(F.min(place).alias("first"))
-    return keyed.join(first.select(F.col("first.row").alias(ROW)), ROW, "left_semi").select(*df.columns)
+    keyed = similar.distinct_sets(df, id_col, text_col, width)
+    texts = keyed.select(F.col(similar.ROW).alias("row"), F.col(text_col).cast("string").alias("text"))
+    known = materialize(similar.sketches(texts, width, least), "sketches")
+    # Rows of one fingerprint are led by the first of them; leaders of near fingerprints are pairs like those.
+    prints = known.select("row", "fp").filter("row is not null")
+    leaders = materialize(prints.groupBy("fp").agg(F.min("row").alias("leader")), "leaders")
+    linked = near_links(leaders.select("fp"), radius)
+    alike = prints.join(leaders, "fp").filter("row <> leader").select(F.col("leader").alias("a"), F.col("row").alias("b"))
+    lead = lambda c: leaders.select(F.col("fp").alias(c), F.col("leader").alias(f"{c}_row"))
+    near = linked.join(lead("a"), "a").join(lead("b"), "b").select(F.least("a_row", "b_row").alias("a"), F.greatest("a_row", "b_row").alias("b"))
+    pairs = materialize(alike.unionByName(near).distinct(), "survivors")
+    roots = materialize(components(similar.links(texts, known, pairs, width, least)), "roots")
+    discard(known, leaders, linked, pairs)
+    ids = keyed.select(F.col(similar.ROW).alias("row"), F.col(id_col).alias("id")).join(roots.withColumnRenamed("node", "row"), "row")
+    first = materialize(ids.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("row"))).alias("first")), "first")
+    gone = ids.join(first, "root").filter("row <> first.row").select(F.col("row").alias(similar.ROW))
+    return keyed.join(gone, similar.ROW, "left_anti").select(*(F.col(f"`{c}`") for c in df.columns))

@@ -1,11 +1,12 @@
-"""Near duplicates by the Jaccard similarity of word shingles, exact.
-
-Texts with equal shingle sets are one to begin with. Two sets of similarity ``t`` or more share one of the first
-``n - ceil(t * n) + 1`` shingles of each, in any order of all shingles that is the same for both; so only these prefixes are
-dealt out, and only shingles in two prefixes make buckets. The order puts shingles that are common in a sample last, which
-keeps buckets small; what the sample holds changes no result. In a bucket, sizes and the shingle counts in BINS classes
-bound the similarity from above. First, pairs that span what the bound leaves together are compared shingle by shingle,
-then all that the bound leaves between groups not yet linked.
+"""Exact links between texts by the Jaccard similarity of word shingles, beyond any fingerprint's reach.
+
+Sets of similarity ``t`` or more share at least ``l`` of the first ``n - ceil(t * n) + l`` shingles of each, in any order of all
+shingles that is the same for both. Only these prefixes are dealt out, with an ``l`` that grows with the set: a text of
+which too few prefix shingles occur anywhere else is done with, whatever passages it shares. The others leave out their
+most frequent shingles, as many as keep one in common, and meet in the buckets of the rest. The order puts shingles
+that are common in a sample last; what the sample holds changes no result. In a bucket, sizes and the shingle counts in
+BINS classes bound the similarity from above. First, each text is compared shingle by shingle with one that the bound leaves,
+beside the pairs that the caller proposes; then every pair that the bound leaves between groups not yet linked.
 """
 
 from __future__ import annotations
@@ -15,20 +16,22 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_sample, materialize, slices, text_values, tune
+from .common import discard, hash_sample, materialize, slices, text_values, tune
 from .components import components
-from .simhash import shingle_hashes
+from .shingles import fingerprint, shingle_hashes
 
 WIDTH = 5
 #: The least similarity of a pair, as a fraction.
 SIMILARITY = (4, 5)
-ROW, DIGEST = "docloom_row", "docloom_shingles"
+ROW, DIGEST = "__docloom_row", "__docloom_shingles"
 BINS = 64
-#: Classes of the second bound, for pairs.
-FINE_BITS = 11
+#: Rows of a bucket's parts.
+BUCKET_ROWS = 4000
+#: A set's ``l``: one for so many shingles, but at least 1.
+SHARED = 10
 #: Texts whose common shingles go last in the order, and how many of these shingles the driver holds at most.
 SAMPLE_DOCS, COMMON = 2000, 50_000
 #: Counts that are compared at once.
@@ -40,11 +43,16 @@ def shingle_set(text: bytes, width: int = WIDTH) -> np.ndarray:
     return np.unique(shingle_hashes(text, width))
 
 
+def common_least(n: int, least: tuple[int, int]) -> int:
+    """The least ``l`` of a set of ``n`` and of any that is similar enough to it."""
+    return max(1, -(-n * least[0] // least[1]) // SHARED)
+
+
 def prefix(found: np.ndarray, common: np.ndarray, counts: np.ndarray, least: tuple[int, int] = SIMILARITY) -> np.ndarray:
-    """The shingles of which a set that is similar enough has one in its own prefix."""
+    """The first shingles of a set in the common order; similar sets have ``common_least`` of theirs in common."""
     if not len(found):
         return found
-    size = len(found) - -(-len(found) * least[0] // least[1]) + 1
+    size = len(found) - -(-len(found) * least[0] // least[1]) + max(1, len(found) // SHARED)
     rank = np.zeros(len(found), np.int64)
     if len(common):
         at = np.minimum(np.searchsorted(common, found), len(common) - 1)
@@ -53,8 +61,8 @@ def prefix(found: np.ndarray, common: np.ndarray, counts: np.ndarray, least: tup
 
 
 def binned(found: np.ndarray) -> bytes:
-    """How many shingles fall in each class."""
-    return np.bincount((found >> np.uint64(58)).astype(np.int64), minlength=BINS).astype(np.uint32).tobytes()
+    """How many shingles fall in each class, at most 255 in one; the rest, whatever its classes, could be shared."""
+    return np.minimum(np.bincount((found >> np.uint64(58)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
 
 
 def alike(a: np.ndarray, b: np.ndarray, least: tuple[int, int] = SIMILARITY) -> bool:
@@ -67,10 +75,12 @@ def possible(bins: np.ndarray, sizes: np.ndarray, x: int, others: np.ndarray, le
     """Those of ``others`` whose similarity to ``x`` isn't bounded below the least."""
     n, m = sizes[x], sizes[others]
     others = others[np.minimum(n, m) * least[1] >= np.maximum(n, m) * least[0]]
+    own_rest = n - bins[x].sum(dtype=np.int64)
     step, found = max(1, BLOCK_CELLS // BINS), []
     for i in range(0, len(others), step):
         part = others[i : i + step]
-        shared = np.minimum(bins[part], bins[x]).sum(axis=1, dtype=np.int64)
+        rest = np.minimum(own_rest, sizes[part] - bins[part].sum(axis=1, dtype=np.int64))
+        shared = np.minimum(bins[part], bins[x]).sum(axis=1, dtype=np.int64) + rest
         found.append(part[shared * least[1] >= (n + sizes[part] - shared) * least[0]])
     return np.concatenate(found) if found else others
 
@@ -99,18 +109,18 @@ def crossing(rows: np.ndarray, bins: np.ndarray, sizes: np.ndarray, roots: np.nd
 
 
 def bucket_pairs(buckets: DataFrame, pairs: Callable[..., list], least: tuple[int, int]) -> DataFrame:
-    """(a, b): what ``pairs`` finds in every bucket of ``buckets`` (h, row, n, bins and perhaps root)."""
+    """(a, b): what ``pairs`` finds in every bucket of ``buckets`` (h, part, row, n, bins and perhaps root)."""
     names = [c for c in ("row", "bins", "n", "root") if c in buckets.columns]
     n = int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def cut(table: pa.Table, last: bool) -> tuple[pa.RecordBatch, pa.Table]:
-        h = table.column("h").to_numpy()
-        begins = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+        h, part = table.column("h").to_numpy(), table.column("part").to_numpy()
+        begins = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (part[1:] != part[:-1])])
         ends = np.r_[begins[1:], len(h)]
         columns = []
         for c in names:
             values = table.column(c).combine_chunks()
-            columns.append(np.frombuffer(b"".join(values.to_pylist()), np.uint32).reshape(-1, BINS) if c == "bins" else values.to_numpy(zero_copy_only=False))
+            columns.append(np.frombuffer(b"".join(values.to_pylist()), np.uint8).reshape(-1, BINS) if c == "bins" else values.to_numpy(zero_copy_only=False))
         found = [p for b, e in zip(begins[: len(begins) - (not last)].tolist(), ends.tolist(), strict=False) if e - b > 1 for p in pairs(*(c[b:e] for c in columns), least)]
         both = np.array(found, np.int64).reshape(-1, 2)
         return pa.record_batch([pa.array(both.min(axis=1)), pa.array(both.max(axis=1))], names=["a", "b"]), table.slice(len(h) if last else begins[-1])
@@ -119,16 +129,15 @@ def bucket_pairs(buckets: DataFrame, pairs: Callable[..., list], least: tuple[in
         held: list[pa.RecordBatch] = []
         for b in batches:
             if b.num_rows:
-                whole = held and b.column("h")[-1].as_py() != held[0].column("h")[0].as_py()
                 held.append(b)
-                if whole:
+                if any(b.column(c)[-1] != held[0].column(c)[0] for c in ("h", "part")):
                     out, rest = cut(pa.Table.from_batches(held), last=False)
                     held = rest.to_batches()
                     yield out
         if held:
             yield cut(pa.Table.from_batches(held), last=True)[0]
 
-    return buckets.repartition(n, "h").sortWithinPartitions("h", "row").mapInArrow(run, "a long, b long").distinct()
+    return buckets.repartition(n, "h", "part").sortWithinPartitions("h", "part", "row").mapInArrow(run, "a long, b long").distinct()
 
 
 def common_shingles(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -146,105 +155,103 @@ def common_shingles(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndarra
     return h[order], counts[order]
 
 
+def distinct_sets(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """A written row of ``df``, numbered by ROW, for each shingle set: one with the smallest id, null ids last."""
+
+    @F.arrow_udf("binary")
+    def digest(part: pa.Array) -> pa.Array:
+        return pa.array([xxhash.xxh3_128_digest(shingle_set(x, width).tobytes()) for x in text_values(part)], pa.binary())
+
+    place = F.struct(F.col(id_col).isNull(), F.col(id_col))
+    keyed = df.withColumn(DIGEST, digest(F.col(text_col).cast("string")))
+    one = keyed.groupBy(DIGEST).agg(F.min_by(F.struct(*(F.col(f"`{c}`") for c in df.columns)), place).alias("r")).select("r.*")
+    return materialize(one.withColumn(ROW, F.monotonically_increasing_id()), "distinct")
+
+
 def sketches(texts: DataFrame, width: int, least: tuple[int, int]) -> DataFrame:
-    """(row, n, bins, prefix) for every row of ``texts`` (row, text)."""
+    """(row, n, fp, bins, prefix) for every row of ``texts`` (row, text)."""
     common, counts = common_shingles(texts, width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, "text"):
-                sets = [shingle_set(x, width) for x in text_values(b.column("text"))]
+                hashes = [shingle_hashes(x, width) for x in text_values(b.column("text"))]
+                sets = [np.unique(h) for h in hashes]
+                prints = np.array([fingerprint(h) for h in hashes], np.uint64).view(np.int64)
                 firsts = pa.array([prefix(x, common, counts, least).view(np.int64) for x in sets], pa.list_(pa.int64()))
-                yield pa.record_batch([b.column("row"), pa.array(map(len, sets), pa.int64()), pa.array(map(binned, sets), pa.binary()), firsts], names=["row", "n", "bins", "prefix"])
-
-    return texts.mapInArrow(run, "row long, n long, bins binary, prefix array<long>")
-
-
-def fine(found: np.ndarray) -> bytes:
-    """How many shingles fall in each class of the second bound, at most 255 in one; the total of the rest follows."""
-    counts = np.bincount((found >> np.uint64(64 - FINE_BITS)).astype(np.int64), minlength=1 << FINE_BITS)
-    held = np.minimum(counts, 255)
-    return held.astype(np.uint8).tobytes() + np.array([len(found), (counts - held).sum()], np.int64).tobytes()
-
-
-def bounded(x: bytes, y: bytes, least: tuple[int, int]) -> bool:
-    """Whether the classes of two sets leave the least similarity possible."""
-    cut = 1 << FINE_BITS
-    (n, over_x), (m, over_y) = (np.frombuffer(c, np.int64, offset=cut) for c in (x, y))
-    shared = int(np.minimum(np.frombuffer(x, np.uint8, cut), np.frombuffer(y, np.uint8, cut)).sum(dtype=np.int64) + min(over_x, over_y))
-    return shared * least[1] >= (int(n + m) - shared) * least[0]
-
-
-def verified(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """The pairs (a, b) whose sets (row, fine, shingles) have the least similarity; classes are compared first, as they are short."""
-
-    def tested(pairs: DataFrame, column: str, test: Callable[[bytes, bytes], bool]) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                mask = [test(p, q) for p, q in zip(b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True)]
-                yield b.select(["a", "b"]).filter(pa.array(mask, pa.bool_()))
+                columns = [b.column("row"), pa.array(map(len, sets), pa.int64()), pa.array(prints), pa.array(map(binned, sets), pa.binary()), firsts]
+                yield pa.record_batch(columns, names=["row", "n", "fp", "bins", "prefix"])
 
-        a, b = (sets.select(F.col("row").alias(c), F.col(column).alias(s)) for c, s in (("a", "x"), ("b", "y")))
-        return pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
-
-    left = materialize(tested(pairs, "fine", lambda x, y: bounded(x, y, least)), "bounded")
-    return tested(left, "shingles", lambda x, y: alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), least))
+    return texts.mapInArrow(run, "row long, n long, fp long, bins binary, prefix array<long>")
 
 
 def shingle_sets(texts: DataFrame, width: int) -> DataFrame:
-    """(row, fine, shingles): the classes of the shingle set and its hashes as bytes."""
+    """(row, shingles): the hashes of the shingle set as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, "text"):
-                sets = [shingle_set(x, width) for x in text_values(b.column("text"))]
-                columns = [b.column("row"), pa.array(map(fine, sets), pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())]
-                yield pa.record_batch(columns, names=["row", "fine", "shingles"])
-
-    return texts.mapInArrow(run, "row long, fine binary, shingles binary")
+                yield pa.record_batch([b.column("row"), pa.array([shingle_set(x, width).tobytes() for x in text_values(b.column("text"))], pa.binary())], names=["row", "shingles"])
 
+    return texts.mapInArrow(run, "row long, shingles binary")
 
-def links(texts: DataFrame, width: int = WIDTH, least: tuple[int, int] = SIMILARITY) -> DataFrame:
-    """(a, b): pairs of similar rows of ``texts`` (row, text) that span every group of rows joined by similarity.
-
-    Rows without words are in no pair; rows with equal shingle sets are pairs like others.
-    """
-    known = materialize(sketches(texts, width, least), "sketches")
-    spread = materialize(known.select("row", F.explode("prefix").alias("h")).groupBy("h").agg(F.collect_list("row").alias("rows")).filter(F.size("rows") > 1), "shared")
-    buckets = materialize(spread.select("h", F.explode("rows").alias("row")).join(known.select("row", "n", "bins"), "row"), "buckets")
-    first = materialize(bucket_pairs(buckets, spanning, least), "pairs")
-    rows = materialize(first.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "compared")
-    sets = materialize(shingle_sets(texts.join(rows, "row", "left_semi"), width), "sets")
-    near = materialize(verified(first, sets, least), "near")
-    rooted = buckets.join(rows, "row", "left_semi").join(components(near).withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
-    others = materialize(bucket_pairs(rooted, crossing, least).join(first, ["a", "b"], "left_anti"), "pairs")
-    return near.unionByName(verified(others, sets, least))
 
+def verified(pairs: DataFrame, texts: DataFrame, width: int, least: tuple[int, int]) -> DataFrame:
+    """The written pairs (a, b) whose texts have the least similarity."""
 
-def digests(keyed: DataFrame, text_col: str, width: int) -> DataFrame:
-    """``keyed`` with the 128-bit hash of the shingle set of each row's text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            mask = [alike(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), least) for p, q in zip(b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True)]
+            yield b.select(["a", "b"]).filter(pa.array(mask, pa.bool_()))
 
-    @F.arrow_udf("binary")
-    def run(part: pa.Array) -> pa.Array:
-        return pa.array([xxhash.xxh3_128_digest(shingle_set(x, width).tobytes()) for x in text_values(part)], pa.binary())
+    rows = materialize(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "compared")
+    sets = materialize(shingle_sets(texts.join(rows, "row", "left_semi"), width), "sets")
+    a, b = (sets.select(F.col("row").alias(c), F.col("shingles").alias(s)) for c, s in (("a", "x"), ("b", "y")))
+    out = materialize(pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "near")
+    discard(rows, sets)
+    return out
 
-    return keyed.withColumn(DIGEST, run(F.col(text_col).cast("string")))
 
+def bucketed(known: DataFrame, least: tuple[int, int], bucket_rows: int) -> DataFrame:
+    """(h, parts, row, n, bins): the buckets of shingles in which rows that may be similar meet; see the module's text.
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, least: tuple[int, int] = SIMILARITY) -> DataFrame:
-    """One row of ``df``, with all its columns, for each group of near duplicates: a row with the group's smallest id.
+    Aggregates are written before they are joined again on their key, so that a hot shingle's rows can be split.
+    """
+    each = known.select("row", "n", F.explode("prefix").alias("h"))
+    several = materialize(each.groupBy("h").agg(F.count("*").alias("m")).filter("m > 1"), "several")
+    needed = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * least[0] / least[1]) / SHARED)).cast("int")
+    shared = each.join(several, "h").groupBy("row", "n").agg(F.sort_array(F.collect_list(F.struct("m", "h"))).alias("by")).filter(F.size("by") >= needed)
+    kept = F.slice("by", 1, F.size("by") - F.floor((needed - 1) / 2).cast("int"))
+    chosen = materialize(shared.select("row", F.explode(kept).alias("k")).select("row", "k.h"), "chosen")
+    sizes = materialize(chosen.groupBy("h").agg(F.count("*").alias("m")).filter("m > 1").select("h", F.ceil(F.col("m") / bucket_rows).alias("parts")), "sizes")
+    out = materialize(chosen.join(sizes, "h").join(known.select("row", "n", "bins"), "row"), "buckets")
+    discard(several, chosen, sizes)
+    return out
+
+
+def links(texts: DataFrame, known: DataFrame, proposed: DataFrame, width: int = WIDTH, least: tuple[int, int] = SIMILARITY, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """(a, b): pairs of similar rows of ``texts`` (row, text) that span every group of rows joined by similarity.
 
-    A group is what similar texts join, over any number of steps; similar are texts whose sets of ``width``-word shingles
-    (of all words if there are fewer) have a Jaccard similarity of ``least`` or more. Null and wordless texts are one group.
-    Null ids come after all others. Rows are told apart by their place, so unlike texts with a repeated or null id all stay.
+    ``known`` has their ``sketches``, ``proposed`` pairs (a, b) to begin with. Rows without words are in no pair.
     """
-    tune(df.sparkSession)
-    place = F.struct(F.col(id_col).isNull(), F.col(id_col))
-    one = digests(df, text_col, width).groupBy(DIGEST).agg(F.min_by(F.struct(*(F.col(c) for c in df.columns)), place).alias("r")).select("r.*")
-    keyed = materialize(one.withColumn(ROW, F.monotonically_increasing_id()), "distinct")
-    texts = keyed.select(F.col(ROW).alias("row"), F.col(text_col).cast("string").alias("text"))
-    roots = materialize(components(links(texts, width, least)), "roots")
-    ids = keyed.select(F.col(ROW).alias("row"), F.col(id_col).alias("id")).join(roots.withColumnRenamed("node", "row"), "row")
-    first = ids.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("row"))).alias("first"))
-    gone = ids.join(first, "root").filter("row <> first.row").select(F.col("row").alias(ROW))
-    return keyed.join(gone, ROW, "left_anti").select(*df.columns)
+    buckets = bucketed(known, least, bucket_rows)
+    own: Column = F.pmod(F.xxhash64("row"), F.col("parts"))
+    first = materialize(bucket_pairs(buckets.withColumn("part", own), spanning, least).groupBy("b").agg(F.min("a").alias("a")).select("a", "b").unionByName(proposed).distinct(), "pairs")
+    near = verified(first, texts, width, least)
+    roots = materialize(components(near), "roots")
+    rooted = materialize(buckets.join(roots.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row")), "rooted")
+    # Buckets of one group have nothing left to find. In the others, every two parts meet.
+    mixed = materialize(rooted.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("h"), "mixed")
+    met = F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda o: F.least(own, o) * F.col("parts") + F.greatest(own, o)))
+    others = materialize(bucket_pairs(rooted.join(mixed, "h", "left_semi").withColumn("part", met), crossing, least).join(first, ["a", "b"], "left_anti"), "others")
+    more = verified(others, texts, width, least)
+    out = materialize(near.unionByName(more), "similar")
+    discard(buckets, first, near, roots, rooted, mixed, others, more)
+    return out
+
+
+def similar_links(texts: DataFrame, width: int = WIDTH, least: tuple[int, int] = SIMILARITY, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``links`` of ``texts`` (row, text) without any pairs proposed."""
+    tune(texts.sparkSession)
+    known = materialize(sketches(texts, width, least), "sketches")
+    return links(texts, known, known.select(F.col("row").alias("a"), F.col("row").alias("b")).limit(0), width, least, bucket_rows)

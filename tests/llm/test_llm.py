@@ -314,11 +314,11 @@ def test_near_duplicates(spark):
     prints = {r["doc_id"]: brute_print(r["text"] or "") for r in docs.collect()}
     roots = brute_components(prints)
     assert values(simhash.near_duplicates(docs), "doc_id", "fingerprint", "component_id") == collections.Counter((i, f"{p:016x}", roots[i]) for i, p in prints.items())
-    kept = simhash.keep_one(docs)
-    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(set(roots.values()))
 
 
-def test_chains_of_links(spark):
+@pytest.mark.parametrize("cell_rows", [simhash.CELL_ROWS, 3])
+def test_chains_of_links(spark, cell_rows, monkeypatch):
+    monkeypatch.setattr(simhash.near_links, "__defaults__", (3, cell_rows))
     rng = random.Random(4)
     prints = [rng.getrandbits(64) for _ in range(60)]
     for p in prints[:20]:
@@ -331,29 +331,40 @@ def test_chains_of_links(spark):
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want
 
 
-def test_pivots_discard_no_link():
+def test_pivot_table(spark):
     rng = np.random.default_rng(2)
-    a = rng.integers(0, 1 << 63, 500, dtype=np.uint64)
-    b = a ^ (np.uint64(1) << rng.integers(0, 64, 500).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 500).astype(np.uint64))
+    a = rng.integers(0, 1 << 63, 300, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, 300, dtype=np.uint64)
+    bits = np.uint64(1) << rng.integers(0, 64, (2, 300)).astype(np.uint64)
+    b = a ^ bits[0] ^ bits[1]
+    rows = simhash.pivot_table(spark.createDataFrame([(int(x),) for x in np.r_[a, b].view(np.int64)], "fp long"), 3).collect()
+    spread = np.array([r["spread"] for r in rows])
     pivots = simhash.spread_pivots()
-    assert (np.abs(simhash.pivot_table(a, pivots) - simhash.pivot_table(b, pivots)) <= 3).all()
+    assert (spread == np.bitwise_count(np.r_[a, b][:, None] ^ pivots[None, :])).all()
+    assert (np.abs(spread[:300] - spread[300:]) <= 2).all()
+    bands = np.array([r["bands"] for r in rows])
+    for k, band in enumerate(simhash.bands(3)):
+        assert (bands[:, k] == (np.r_[a, b] >> np.uint64(band[0]) & np.uint64((1 << len(band)) - 1)).view(np.int64)).all()
+    assert ((bands[:300] == bands[300:]).sum(axis=1) >= 3).all()
 
 
-def test_components(spark):
+@pytest.mark.parametrize("hub_edges", [components.HUB_EDGES, 0])
+def test_components(spark, hub_edges, monkeypatch):
+    monkeypatch.setattr(components, "HUB_EDGES", hub_edges)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (7, 7), (102, 100)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 102: 100}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_simhash_edges(spark, edge):
+def test_simhash_edges(spark, edge, texts):
     got = simhash.near_duplicates(edge)
     assert got.count() == edge.count()
     by_id = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in got.collect()}
     assert by_id[0] == by_id[1] == by_id[3] == ("0" * 16, 0) and by_id[6] == by_id[7] and by_id[7][1] == 6
     assert simhash.near_duplicates(edge.limit(0)).count() == 0
     kept = simhash.keep_one(edge)
-    assert kept.columns == edge.columns and kept.count() == len({c for _, c in by_id.values()})
+    assert kept.columns == edge.columns and kept.count() == len(brute_similar([t or "" for _, t in sorted(texts, key=str)]))
+    assert simhash.keep_one(edge.limit(0)).count() == 0
 
 
 def test_keep_one_by_place_not_id(spark):
@@ -398,7 +409,9 @@ def test_pipeline_keeps_one_of_similar_texts(spark):
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == want
 
 
-def test_similar_texts_of_many_edits(spark):
+@pytest.mark.parametrize("bucket_rows", [similar.BUCKET_ROWS, 3])
+def test_similar_texts_of_many_edits(spark, bucket_rows, monkeypatch):
+    monkeypatch.setattr(similar.links, "__defaults__", (*similar.links.__defaults__[:2], bucket_rows))
     rng = random.Random(8)
     texts = []
     for _ in range(12):
@@ -412,13 +425,21 @@ def test_similar_texts_of_many_edits(spark):
     order = rng.sample(range(len(texts)), len(texts))
     df = spark.createDataFrame([(n, texts[i]) for n, i in enumerate(order)], "doc_id long, text string")
     want = sorted(min(part) for part in brute_similar([texts[i] for i in order]))
-    assert sorted(r["doc_id"] for r in similar.keep_one(df).collect()) == want
-
-
-def test_similar_texts_by_place_not_id(spark):
-    rows = [(None, "one"), (None, "two"), (5, "three"), (5, "four"), (5, "two"), (None, "three"), (6, "one")]
-    got = similar.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert sorted(tuple(r) for r in got.collect()) == [(5, "four"), (5, "three"), (5, "two"), (6, "one")]
+    assert sorted(r["doc_id"] for r in simhash.keep_one(df).collect()) == want
+
+
+@pytest.mark.parametrize("n", [0, 1, 4, 9, 10, 11, 40, 333])
+def test_prefixes_share_enough(n):
+    rng = np.random.default_rng(n)
+    common, counts = np.sort(rng.integers(0, 1 << 62, 50, dtype=np.uint64)), rng.integers(3, 9, 50)
+    for _ in range(60):
+        a = np.unique(np.r_[rng.choice(common, min(n, 20), replace=False), rng.integers(0, 1 << 63, n, dtype=np.uint64)])[:n]
+        b = np.unique(np.r_[rng.choice(a, len(a) - int(rng.integers(0, n // 8 + 1)), replace=False), rng.integers(0, 1 << 63, int(rng.integers(0, n // 8 + 1)), dtype=np.uint64)])
+        if len(a) and similar.alike(a, b):
+            shared = np.intersect1d(similar.prefix(a, common, counts), similar.prefix(b, common, counts))
+            assert len(shared) >= max(similar.common_least(len(x), similar.SIMILARITY) for x in (a, b))
+            bins = np.stack([np.frombuffer(similar.binned(x), np.uint8) for x in (a, b)])
+            assert len(similar.possible(bins, np.array([len(a), len(b)]), 0, np.array([1]), similar.SIMILARITY)) == 1
 
 
 # 7 repeated strings
