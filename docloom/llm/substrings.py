@@ -5,15 +5,21 @@
    comparing only within an anchor's key. Runs of windows with one anchor make a segment. Segments whose key occurs once
    in the corpus hold no repeat and are never shipped.
 2. *Shard transforms.* Segments of a key line up at the anchor, so they are cut into 8-byte symbols on the anchor's grid.
-   Shards of segments get a Burrows-Wheeler transform each.
+   The segments of a merge come from many source partitions, whose numbers deal them to shards; each shard gets a
+   Burrows-Wheeler transform of its own.
 3. *Merge by interleave refinement.* The order of all shards' suffixes is refined one symbol at a time through
-   the transforms (each round extends every suffix by the symbol before it); no suffix is sorted again. Suffixes
-   that are still in one block after ``DEPTH`` rounds have a common prefix of that many symbols: the repeated intervals.
+   the transforms (each round extends every suffix by the symbol before it); no suffix is sorted again. The round in
+   which two neighbours part is their common prefix. Runs of neighbours with common prefixes of ``DEPTH`` symbols or more are
+   the repeated intervals.
 4. *Exact ends.* A window is its aligned suffix's DEPTH symbols and 8 more bytes split between both ends, so within
    a block windows are equal exactly if those 8 bytes are.
 
-Equal segments are one (a segment that occurs twice is repeated as a whole). A key with more distinct segments than a
-task should hold compares its windows by 128-bit hashes in an ordinary aggregation instead, which splits any key.
+Equal segments are one (a segment that occurs twice is repeated as a whole). A key whose distinct segments are more than a
+task should merge is split before it is dealt out: its windows are parted by their offset from the anchor into groups of
+``WIDTHS[1]``, and each group's key also has a hash of the bytes that all windows of the group hold. Equal windows stay
+together, as both are functions of a window's content and place in it. What is still too much is parted again into
+groups of ``WIDTHS[2]`` = 2 offsets: those agree in 199 bytes, so at most 2^16 different segments of 201 bytes (13 MB) share a
+key, whatever the corpus. All keys, split or not, go through the same merge.
 """
 
 from __future__ import annotations
@@ -25,10 +31,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, slices, text_values, tune
+from .common import discard, materialize, slices, text_values, tune
 
 SPAN = 200
 GRAM = 32
@@ -38,10 +45,12 @@ DEPTH = SPAN // SYMBOL - 1
 #: Window starts handled at once; with the overlap, positions fit POSITION_BITS.
 BLOCK = 1 << 17
 POSITION_BITS = 18
-#: Bytes of distinct segments merged at once, in how many shards; bytes of one key beyond which windows are hashed.
+#: Bytes of distinct segments merged at once, in how many shards; bytes of distinct segments beyond which a key is split.
 MERGE_BYTES = 4 << 20
 SHARDS = 4
-KEY_BYTES = 16 << 20
+KEY_BYTES = 1 << 20
+#: Offsets in a group: all of a key's, then those of a split key, then those of a group that is split again.
+WIDTHS = (CHOICES, 13, 2)
 #: Columns added to a caller's rows; names that no table has.
 ROW, PARTS = "__docloom_row", "__docloom_parts"
 #: Signatures that a task remembers so as not to ship equal segments again.
@@ -110,16 +119,20 @@ def transform(symbols: np.ndarray) -> np.ndarray:
 
 
 def merge_transforms(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(shard of each place, block of each place): the shards' suffixes interleaved in the order of their first ``depth`` symbols.
+    """(shard of each place, common prefix of each place with the one before, at most ``depth``): the shards' suffixes interleaved.
 
-    Every round takes each place's symbol from its shard's transform and deals the places out by symbol, keeping order;
-    two neighbours stay in one block if their symbols and their old blocks are equal.
+    Every round takes each place's symbol from its shard's transform and deals the places out by symbol, keeping order.
+    Places stay in one block while their symbols and old blocks are equal; a round that parts two neighbours has found
+    their common prefix. A place's blocks only ever get smaller, so what parts two places parts them for good. Ends of
+    sequences have nothing in common.
     """
     shard = np.repeat(np.arange(len(transforms)), [len(t) for t in transforms])
     ends = np.array([int((t == 0).sum()) for t in transforms])
     head = np.repeat(np.arange(len(transforms)), ends)
     block = np.zeros(len(shard), np.int64)
-    for _ in range(depth):
+    common = np.full(len(shard), depth)
+    common[: len(head) + 1] = 0
+    for done in range(depth):
         symbol = np.empty(len(shard), np.int64)
         for s, t in enumerate(transforms):
             symbol[shard == s] = t
@@ -128,11 +141,16 @@ def merge_transforms(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarr
         new = np.r_[True, (symbol[1:] != symbol[:-1]) | (old[1:] != old[:-1])] if len(order) else np.empty(0, bool)
         shard = np.r_[head, shard[order]]
         block = np.r_[np.arange(len(head)), len(head) + np.cumsum(new)]
-    return shard, block
+        rest = common[len(head) :]
+        rest[new & (rest > done)] = done
+    return shard, common
 
 
-def repeated_windows(parts: list[bytes], sizes: np.ndarray, anchors: np.ndarray) -> list[np.ndarray]:
-    """For each distinct segment, which of its windows also start elsewhere in ``parts``."""
+def repeated_windows(parts: list[bytes], sizes: np.ndarray, anchors: np.ndarray, sources: np.ndarray) -> list[np.ndarray]:
+    """For each distinct segment, which of its windows also start elsewhere in ``parts``; ``sources``: the partitions they come from.
+
+    ``parts`` lie in the order of their shards.
+    """
     skips = anchors % SYMBOL  # bytes before the first grid place
     counts = np.array([(len(p) - k) // SYMBOL for p, k in zip(parts, skips.tolist(), strict=True)])
     blocks = b"".join(p[k : k + SYMBOL * c] for p, k, c in zip(parts, skips.tolist(), counts.tolist(), strict=True))
@@ -142,11 +160,13 @@ def repeated_windows(parts: list[bytes], sizes: np.ndarray, anchors: np.ndarray)
     symbols = np.zeros(len(ids) + len(parts), np.int64)
     symbols[places] = ids + 1
     firsts = np.r_[0, np.cumsum(counts + 1)]
-    cuts = firsts[np.linspace(0, len(parts), min(SHARDS, len(parts)) + 1).astype(int)]
+    cuts = firsts[np.searchsorted(sources % SHARDS, np.arange(SHARDS + 1))]
+    cuts = cuts[np.r_[True, np.diff(cuts) > 0]]
     shards = [symbols[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
     orders = [suffix_order(x) for x in shards]
     transforms = [np.r_[0, x[:-1]][o] for x, o in zip(shards, orders, strict=True)]
-    shard, block = merge_transforms(transforms, DEPTH)
+    shard, common = merge_transforms(transforms, DEPTH)
+    block = np.cumsum(common < DEPTH)  # neighbours with DEPTH symbols in common are one interval
     classes = np.empty(len(symbols), np.int64)
     for s, (a, o) in enumerate(zip(cuts, orders, strict=False)):
         classes[a + o] = block[shard == s]
@@ -196,12 +216,30 @@ def find_segments(keyed: DataFrame) -> DataFrame:
     return keyed.select("rid", "text").mapInArrow(run, "key long, rid long, start long, size short, lead short")
 
 
+def pieces(key: int, size: int, lead: int, data: bytes, width: int) -> Iterator[tuple]:
+    """(key, at, size, lead, data) of the groups of ``width`` offsets that a segment's windows fall into.
+
+    The window at i has its anchor at offset ``lead`` - i. Those with offsets from ``low`` to ``low + width - 1`` all hold the
+    bytes from ``low`` before the anchor to where the one that begins first ends; the group's key takes them in.
+    """
+    for low in range((lead - size + 1) // width * width, lead + 1, width):
+        a, b = max(0, lead - low - width + 1), min(size, lead - low + 1)
+        held = data[lead - low : lead - low + SPAN - width + 1]
+        own = xxhash.xxh3_64_intdigest(held, seed=(key * CHOICES + low) % (1 << 64))
+        yield own - (1 << 64) if own >> 63 else own, a, b - a, lead - a, data[a : b + SPAN - 1]
+
+
+SEGMENT = "key long, s1 long, s2 long, size short, lead short, source int, data binary"
+
+
 def cut_segments(keyed: DataFrame, hits: DataFrame) -> DataFrame:
-    """The bytes of the segments in ``hits``: (key, rid, start, size, lead, s1, s2, data); data is null where the task shipped it before."""
+    """The segments in ``hits`` with their bytes: (rid, start) and SEGMENT; data is null where the task shipped it before."""
     lists = hits.groupBy("rid").agg(F.collect_list(F.struct("key", "start", "size", "lead")).alias("parts"))
+    names, kinds = _columns("rid long, start long, " + SEGMENT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
+        source = TaskContext.get().partitionId()
         for whole in batches:
             for b in slices(whole, "text", 1 << 20):
                 rows, ship = [], 0
@@ -217,80 +255,120 @@ def cut_segments(keyed: DataFrame, hits: DataFrame) -> DataFrame:
                                 seen.clear()
                             seen.add(s)
                             ship += len(data)
-                        rows.append((p["key"], rid, start, size, lead, *s, data))
+                        rows.append((rid, start, p["key"], *s, size, lead, source, data))
                         if ship > 4 << 20:
-                            yield _table(rows)
+                            yield _table(rows, names, kinds)
                             rows, ship = [], 0
                 if rows:
-                    yield _table(rows)
+                    yield _table(rows, names, kinds)
 
-    return keyed.select("rid", "text").join(lists, "rid").mapInArrow(run, "key long, rid long, start long, size short, lead short, s1 long, s2 long, data binary")
+    return keyed.select("rid", "text").join(lists, "rid").mapInArrow(run, "rid long, start long, " + SEGMENT)
 
 
-_KINDS = (("key", pa.int64()), ("rid", pa.int64()), ("start", pa.int64()), ("size", pa.int16()), ("lead", pa.int16()), ("s1", pa.int64()), ("s2", pa.int64()), ("data", pa.binary()))
+def _columns(schema: str) -> tuple[list[str], list[pa.DataType]]:
+    known = {"long": pa.int64(), "int": pa.int32(), "short": pa.int16(), "binary": pa.binary()}
+    names, kinds = zip(*(x.split() for x in schema.split(", ")), strict=True)
+    return list(names), [known[k] for k in kinds]
 
 
-def _table(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True))
-    return pa.record_batch([pa.array(c, k) for c, (_, k) in zip(columns, _KINDS, strict=True)], names=[n for n, _ in _KINDS])
+def _table(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
 
-def compare_segments(cut: DataFrame, key_bytes: int = KEY_BYTES) -> DataFrame:
-    """(s1, s2, mask, w1, w2, at): for each distinct segment the mask of its repeated windows, if any.
-
-    Rows of a key beyond ``key_bytes`` have, instead of a mask, a window's hash (w1, w2) and its place ``at``.
-    """
-    n = int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = cut.filter("data is not null").select("key", "s1", "s2", "size", "lead", "data").repartition(n, "key").sortWithinPartitions("key")
-    schema = pa.schema([("s1", pa.int64()), ("s2", pa.int64()), ("mask", pa.binary()), ("w1", pa.int64()), ("w2", pa.int64()), ("at", pa.int32())])
+def split_segments(hot: DataFrame, width: int) -> DataFrame:
+    """SEGMENT for the groups of ``width`` offsets of the segments in ``hot`` (SEGMENT), with the signature (o1, o2) they are of and their place ``at`` there."""
+    schema = "o1 long, o2 long, at short, " + SEGMENT
+    names, kinds = _columns(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def merged(held: dict) -> Iterator[pa.RecordBatch]:
-            if len(held) < 1:
-                return
-            parts = [v[2] for v in held.values()]
-            sizes, anchors = (np.array([v[i] for v in held.values()], np.int64) for i in (0, 1))
-            rows = [(s[0], s[1], np.packbits(m).tobytes(), None, None, None) for s, m in zip(held, repeated_windows(parts, sizes, anchors), strict=True) if m.any()]
+        rows, ship = [], 0
+        for b in batches:
+            for r in b.to_pylist():
+                for key, at, size, lead, data in pieces(r["key"], r["size"], r["lead"], r["data"], width):
+                    rows.append((r["s1"], r["s2"], at, key, *_signature(lead, size, data), size, lead, r["source"], data))
+                    ship += len(data)
+                if ship > 4 << 20:
+                    yield _table(rows, names, kinds)
+                    rows, ship = [], 0
+        if rows:
+            yield _table(rows, names, kinds)
+
+    return hot.mapInArrow(run, schema)
+
+
+def compare_segments(segments: DataFrame) -> DataFrame:
+    """(s1, s2, mask): for each distinct segment of ``segments`` (SEGMENT) that has any, the mask of its repeated windows."""
+    n = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = segments.select("key", "s1", "s2", "size", "lead", "source", "data").repartition(n, "key").sortWithinPartitions("key")
+    names, kinds = _columns("s1 long, s2 long, mask binary")
+
+    def merged(held: dict) -> Iterator[pa.RecordBatch]:
+        if held:
+            order = sorted(held.items(), key=lambda x: x[1][2] % SHARDS)
+            sizes, anchors, sources = (np.array([v[i] for _, v in order], np.int64) for i in range(3))
+            found = repeated_windows([v[3] for _, v in order], sizes, anchors, sources)
+            rows = [(*s, np.packbits(m).tobytes()) for (s, _), m in zip(order, found, strict=True) if m.any()]
             if rows:
-                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-
-        def hashed(group: dict) -> Iterator[pa.RecordBatch]:
-            for s, (size, _, data) in group.items():
-                digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(data[i : i + SPAN]) for i in range(size)), np.int64).reshape(-1, 2)
-                same = [pa.array(np.full(size, x, np.int64)) for x in s]
-                yield pa.record_batch([*same, pa.nulls(size, pa.binary()), pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(np.arange(size, dtype=np.int32))], schema=schema)
+                yield _table(rows, names, kinds)
 
-        ready: dict = {}  # whole groups that wait for a merge
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready: dict = {}  # whole keys that wait for a merge
         group: dict = {}
         total = held_bytes = 0
-        key, hot = None, False
+        key = None
         for b in batches:
             for r in b.to_pylist():
                 if r["key"] != key:
-                    if hot:
-                        yield from hashed(group)
-                    elif len(group) > 0:
-                        ready |= group
-                        held_bytes += total
-                        if held_bytes > MERGE_BYTES:
-                            yield from merged(ready)
-                            ready, held_bytes = {}, 0
-                    group, total, key, hot = {}, 0, r["key"], False
+                    ready |= group
+                    held_bytes += total
+                    if held_bytes > MERGE_BYTES:
+                        yield from merged(ready)
+                        ready, held_bytes = {}, 0
+                    group, total, key = {}, 0, r["key"]
                 s = (r["s1"], r["s2"])
                 if s not in group:
-                    group[s] = (r["size"], r["lead"], r["data"])
+                    group[s] = (r["size"], r["lead"], r["source"], r["data"])
                     total += len(r["data"])
-                    if total > key_bytes:
-                        hot, total = True, 0
-                        yield from hashed(group)
-                        group = {}
-        if hot:
-            yield from hashed(group)
-        else:
-            ready |= group
-        yield from merged(ready)
+        yield from merged(ready | group)
+
+    return dealt.mapInArrow(run, "s1 long, s2 long, mask binary")
+
+
+def verdicts(segments: DataFrame, widths: tuple[int, ...], key_bytes: int) -> DataFrame:
+    """(s1, s2, mask), written: the repeated windows of each distinct segment of ``segments`` (SEGMENT, data null or not), null for all of them.
+
+    ``widths``: of the groups into which keys with over ``key_bytes`` of distinct segments are split, one level after the other.
+    """
+    distinct = materialize(segments.groupBy("s1", "s2").agg(F.min("key").alias("key"), F.min("size").alias("size"), F.count("*").alias("n")), "distinct")
+    shipped = segments.filter("data is not null").select(*_columns(SEGMENT)[0])
+    times = distinct.filter("n > 1").select("s1", "s2", F.lit(True).alias("whole"))
+    hot = materialize(distinct.groupBy("key").agg(F.sum(F.col("size") + F.lit(SPAN - 1)).alias("bytes")).filter(F.col("bytes") > key_bytes).select("key"), "hot") if widths else None
+    if hot is not None and hot.take(1):
+        masks = materialize(compare_segments(shipped.join(hot, "key", "left_anti")), "compared")
+        groups = materialize(split_segments(shipped.join(hot, "key", "left_semi").select(*shipped.columns), widths[0]), "groups")
+        below = verdicts(groups, widths[1:], key_bytes)
+        found = groups.select("o1", "o2", "at", "size", "s1", "s2").join(below, ["s1", "s2"])
+        again = found.groupBy(F.col("o1").alias("s1"), F.col("o2").alias("s2")).agg(_whole_mask(F.collect_list(F.struct("at", "size", "mask"))).alias("mask"))
+        masks = masks.unionByName(materialize(again, "again"))
+    else:
+        masks = materialize(compare_segments(shipped), "compared")
+    return materialize(masks.join(times, ["s1", "s2"], "full").select("s1", "s2", F.when(F.col("whole").isNull(), F.col("mask")).alias("mask")), "verdict")
+
+
+def _whole_mask(groups: Column) -> Column:
+    """The mask of a segment from those of its groups of windows (at, size, mask; null: all)."""
+
+    @F.arrow_udf("binary")
+    def run(lists: pa.Array) -> pa.Array:
+        out = []
+        for own in lists.to_pylist():
+            held = np.zeros(CHOICES, np.uint8)
+            for g in own:
+                held[g["at"] : g["at"] + g["size"]] |= 1 if g["mask"] is None else np.unpackbits(np.frombuffer(g["mask"], np.uint8), count=g["size"])
+            out.append(np.packbits(held).tobytes())
+        return pa.array(out, pa.binary())
 
-    return dealt.mapInArrow(run, "s1 long, s2 long, mask binary, w1 long, w2 long, at int")
+    return run(groups)
 
 
 def covered(length: int, parts: list[dict]) -> np.ndarray:
@@ -317,16 +395,8 @@ def mark_repeats(docs: DataFrame, text_col: str = "text", key_bytes: int = KEY_B
     # Written out, so that the join has an exchange of its own on either side and a hot key's rows can be split.
     again = materialize(rows.groupBy("key").count().filter("count > 1").select("key"), "again")
     cut = materialize(cut_segments(texts, rows.join(again, "key", "left_semi")), "cut")
-    compared = materialize(compare_segments(cut, key_bytes), "compared")
-    windows = compared.filter("mask is null").select("s1", "s2", "w1", "w2", "at")
-    twice = materialize(windows.groupBy("w1", "w2").count().filter("count > 1").select("w1", "w2"), "twice")
-    hot = windows.join(twice, ["w1", "w2"], "left_semi").groupBy("s1", "s2").agg(F.collect_set("at").alias("ats"))
-    number = F.aggregate("ats", F.expr("cast(repeat('0', 176) as string)"), lambda acc, x: F.overlay(acc, F.lit("1"), x + 1))
-    digits = F.transform(F.sequence(F.lit(0), F.lit(21)), lambda i: F.lpad(F.conv(F.substring(number, i * 8 + 1, F.lit(8)), 2, 16), 2, "0"))
-    masks = compared.filter("mask is not null").select("s1", "s2", "mask").unionByName(hot.select("s1", "s2", F.unhex(F.array_join(digits, "")).alias("mask")))
-    masks = masks.groupBy("s1", "s2").agg(F.max("mask").alias("mask"))
-    times = cut.groupBy("s1", "s2").count().filter("count > 1").select("s1", "s2", F.lit(True).alias("whole"))
-    verdict = materialize(masks.join(times, ["s1", "s2"], "full").select("s1", "s2", F.when(F.col("whole").isNull(), F.col("mask")).alias("mask")), "verdict")
+    discard(rows, again)
+    verdict = verdicts(cut, WIDTHS[1:], key_bytes)
     found = cut.select("rid", "start", "size", "s1", "s2").join(verdict, ["s1", "s2"])
     return keyed, found.groupBy(F.col("rid").alias(ROW)).agg(F.collect_list(F.struct("start", "size", "mask")).alias(PARTS))
 
@@ -358,7 +428,8 @@ def removal_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def remove_repeats(docs: DataFrame, text_col: str = "text", key_bytes: int = KEY_BYTES) -> DataFrame:
     """``docs`` without the repeated bytes of ``text_col``; all rows and other columns stay.
 
-    Where a cut leaves part of a character, that part goes too. A null text stays null.
+    Where a cut leaves part of a character, that part goes too. A null text stays null, an empty one empty; repeated rows
+    lose what they repeat; an empty table stays empty; columns are kept whatever their names are.
     """
     keyed, found = mark_repeats(docs, text_col, key_bytes)
 
@@ -373,4 +444,4 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", key_bytes: int = KEY
             out.append(np.frombuffer(raw, np.uint8)[~covered(len(raw), list(parts))].tobytes().decode("utf-8", "ignore"))
         return pd.Series(out)
 
-    return keyed.join(found, ROW, "left").withColumn(text_col, without(F.col(text_col), F.col(PARTS))).select(*docs.columns)
+    return keyed.join(found, ROW, "left").withColumn(text_col, without(F.col(text_col), F.col(PARTS))).select(*(F.col(f"`{c}`") for c in docs.columns))

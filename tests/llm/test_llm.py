@@ -477,7 +477,7 @@ def planted(seed):
 COLUMNS = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-@pytest.mark.parametrize("seed,key_bytes", [(1, substrings.KEY_BYTES), (2, substrings.KEY_BYTES), (3, 900), (4, 0)])
+@pytest.mark.parametrize("seed,key_bytes", [(1, substrings.KEY_BYTES), (2, substrings.KEY_BYTES), (3, 900), (4, 0), (5, 2500)])
 def test_repeats(spark, seed, key_bytes):
     texts = list(enumerate(planted(seed)))
     df = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
@@ -491,11 +491,30 @@ def test_repeats_edges(spark, edge, texts):
     assert substrings.removal_digest(edge.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("width", substrings.WIDTHS[1:])
+def test_groups_hold_all_windows_and_keep_equal_ones_together(width):
+    rng = random.Random(width)
+    middle = bytes(rng.randrange(256) for _ in range(240))
+    homes = collections.defaultdict(set)
+    for _ in range(30):
+        own = bytes(rng.randrange(256) for _ in range(80)) + middle + bytes(rng.randrange(256) for _ in range(80))
+        start, size = rng.randint(0, 100), rng.randint(1, 100)
+        data, lead = own[start : start + size + substrings.SPAN - 1], 200 - start  # the anchor is at 200 of each
+        seen = []
+        for key, at, n, first, part in substrings.pieces(77, size, lead, data, width):
+            assert part == data[at : at + n + substrings.SPAN - 1] and first == lead - at and 1 <= n <= width
+            seen += range(at, at + n)
+            for i in range(n):
+                homes[lead - at - i, part[i : i + substrings.SPAN]].add(key)
+        assert sorted(seen) == list(range(size))
+    assert {len(x) for x in homes.values()} == {1} and len(homes) < 30 * 100
+
+
 def test_merged_transforms_order_all_suffixes():
     rng = np.random.default_rng(5)
     shards = [np.concatenate([np.r_[rng.integers(1, 4, rng.integers(0, 30)), 0] for _ in range(4)]) for _ in range(3)]
     orders = [substrings.suffix_order(s) for s in shards]
-    shard, block = substrings.merge_transforms([substrings.transform(s) for s in shards], 6)
+    shard, common = substrings.merge_transforms([substrings.transform(s) for s in shards], 6)
     seen, keys = [0, 0, 0], []
     for s in shard:
         at = orders[s][seen[s]]
@@ -503,8 +522,8 @@ def test_merged_transforms_order_all_suffixes():
         stop = int(np.flatnonzero(shards[s][at:] == 0)[0])
         keys.append(tuple(shards[s][at : at + min(stop + 1, 6)].tolist()))
     assert keys == sorted(keys)
-    for (a, x), (b, y) in itertools.pairwise(zip(keys, block, strict=True)):
-        assert (x == y) == (a == b and 0 not in a)
+    for (a, _), (b, x) in itertools.pairwise(zip(keys, common, strict=True)):
+        assert x == next((i for i in range(6) if i >= len(a) or i >= len(b) or a[i] != b[i] or a[i] == 0), 6)
 
 
 # 8 HTML
