@@ -13,6 +13,7 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -114,13 +115,36 @@ def double_array(words: list[bytes]) -> tuple[list[int], list[int], list[int]]:
     return base[:last].tolist(), check[:last].tolist(), value[:last].tolist()
 
 
+@dataclass
+class Memory:
+    """Ids (as little-endian bytes) and scores of runs that were encoded before: those of the last two generations in use."""
+
+    ids: dict[str, bytes] = field(default_factory=dict)
+    scores: dict[str, float] = field(default_factory=dict)
+    older: tuple[dict[str, bytes], dict[str, float]] = field(default_factory=lambda: ({}, {}))
+
+    def lacking(self, runs: set[str]) -> set[str]:
+        """Those of ``runs`` that aren't known; the others are of this generation now."""
+        if len(self.ids) > CACHE_ENTRIES:
+            self.older, self.ids, self.scores = (self.ids, self.scores), {}, {}
+        new = runs - self.ids.keys()
+        again = new & self.older[0].keys()
+        for kept, old in zip((self.ids, self.scores), self.older, strict=True):
+            kept.update(zip(again, map(old.__getitem__, again), strict=True))
+        return new - again
+
+    def learn(self, runs: list[str], paths: list[tuple[bytes, float]]) -> None:
+        self.ids.update(zip(runs, (p[0] for p in paths), strict=True))
+        self.scores.update(zip(runs, (p[1] for p in paths), strict=True))
+
+
 @dataclass
 class Pieces:
     """Encoder and decoder of one vocabulary."""
 
     vocabulary: list[tuple[str, float, int]]
     trie: tuple[list[int], list[int], list[int]] | None = None
-    known: dict = field(default_factory=dict)
+    known: Memory = field(default_factory=lambda: Memory())
     arrays: tuple | None = None
 
     def __post_init__(self):
@@ -240,23 +264,21 @@ class Pieces:
     def encode_many(self, texts: list[str]) -> list[tuple[np.ndarray, float]]:
         """(ids, log score) of whole texts, with a marker put before each; an empty text has no ids."""
         known = self.known
-        if len(known) > CACHE_ENTRIES:
-            known.clear()
         parts = [self.parts.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        new = {p for own in parts for p in own if p not in known}
+        new = known.lacking(set(chain.from_iterable(parts)))
         short = sorted((p for p in new if len(p) <= SHORT), key=len)
         for i in range(0, len(short), TOGETHER):
             some = short[i : i + TOGETHER]
-            known.update(zip(some, self.best_paths(some), strict=True))
-        rest = {}
-        for p in new:
-            if len(p) > SHORT:
-                ids, score = self.best_path(p)
-                rest[p] = np.array(ids, "<i4").tobytes(), score
+            known.learn(some, self.best_paths(some))
+        rest = {p: self.best_path(p) for p in new if len(p) > SHORT}
+        long_ids = {p: np.array(ids, "<i4").tobytes() for p, (ids, _) in rest.items()}
         out = []
         for own in parts:
-            found = [known[p] if p in known else rest[p] for p in own] if rest else [known[p] for p in own]
-            out.append((np.frombuffer(b"".join([f[0] for f in found]), "<i4"), sum([f[1] for f in found])))
+            if rest and not rest.keys().isdisjoint(own):
+                ids, scores = [long_ids[p] if p in rest else known.ids[p] for p in own], [rest[p][1] if p in rest else known.scores[p] for p in own]
+            else:
+                ids, scores = map(known.ids.__getitem__, own), map(known.scores.__getitem__, own)
+            out.append((np.frombuffer(b"".join(ids), "<i4"), sum(scores)))
         return out
 
     def encode(self, text: str) -> tuple[np.ndarray, float]:
@@ -318,7 +340,11 @@ def encode_documents(df: DataFrame, model_path: str, id_col: str = "doc_id", tex
 
 
 def decode_documents(encoded: DataFrame, model_path: str) -> DataFrame:
-    """``doc_id``, ids, score of ``encoded`` and their text; null ids give a null text."""
+    """``doc_id``, ids, score of ``encoded`` and their text.
+
+    Null ids give a null text, empty ones an empty text; null doc_ids stay null, repeated rows stay, an empty table gives no
+    rows, other columns are not read.
+    """
     tune(encoded.sparkSession)
     get = shipped(model_path)
 
@@ -327,7 +353,10 @@ def decode_documents(encoded: DataFrame, model_path: str) -> DataFrame:
         for b in batches:
             for i in range(0, b.num_rows, 200):
                 part = b.slice(i, 200)
-                texts = [None if x is None else pieces.decode(x) for x in part.column("ids").to_pylist()]
+                ids = part.column("ids")
+                flat, ends = ids.flatten().to_numpy(zero_copy_only=False), np.cumsum(ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+                begins = [0, *ends.tolist()]
+                texts = [pieces.decode(flat[a:e].tolist()) if there else None for a, e, there in zip(begins, ends.tolist(), ids.is_valid().to_pylist(), strict=False)]
                 yield pa.record_batch([*part.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "score", "text"])
 
     kind = dict(encoded.dtypes)["doc_id"]
