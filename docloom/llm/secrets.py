@@ -85,7 +85,8 @@ def labelled_samples(spark: SparkSession, docs: DataFrame, text_col: str = "text
     """(value, secret): bounded labelled samples.
 
     Secrets are ``SAMPLE_STRINGS`` each of base64 and mixed digests of a counter. Ordinary are all words of 6 or more token
-    characters of ``SAMPLE_DOCS`` documents, the first by a hash of the text among distinct texts without a base match.
+    characters of ``SAMPLE_DOCS`` documents, alone and joined as programs join names, the first by a hash of the text among
+    distinct texts without a base match.
     Null and empty texts have no words; without documents there are random strings alone.
     """
     digest = F.sha2(F.concat(F.lit("sample"), F.col("id").cast("string")).cast("binary"), 256)
@@ -97,7 +98,10 @@ def labelled_samples(spark: SparkSession, docs: DataFrame, text_col: str = "text
     # Keys alone are sampled, once each; then one text of each chosen key is read.
     keys = hash_sample(plain.select("key").distinct(), SAMPLE_DOCS, F.col("key"))
     few = plain.join(F.broadcast(keys), "key", "left_semi").groupBy("key").agg(F.min("text").alias("text"))
-    return random.unionByName(few.select(F.explode(words).alias("value"), F.lit(False).alias("secret")))
+    # Programs join words in three ways; each text's words make one such name.
+    names = [F.array_join(F.transform("w", f), by) for f, by in ((F.initcap, ""), (F.lower, "_"), (F.lower, "-"))]
+    plain_names = few.select(words.alias("w")).select(F.explode(F.concat("w", F.array(*names))).alias("value"))
+    return random.unionByName(plain_names.withColumn("secret", F.lit(False)))
 
 
 def state_numbers(value: Column) -> Column:
