@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 # The white space class.
 WS = r"\t\n\x0B\f\r \x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}"
 S = f"[{WS}]"
+#: The same characters, and those of them beyond ASCII as a class of their own.
+WS_CHARS = "\t\n\x0b\f\r \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
+RARE = r"[\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
 
 B0 = "(?<![A-Za-z0-9_])"
 B1 = "(?![A-Za-z0-9_])"
@@ -48,8 +51,9 @@ MODAL = f"(?iu){B0}(muss|müssen|sind zu|hat zu|verpflichtet|shall|must|is to be
 MODALITY_LEGEND = r"(?iu)(Mindest|Muss|zwingend)[^\n]{0,200}"
 INTERNAL_REF = rf'Position{S}+["„“»«]([^"„“»«]{{2,50}})["„“»«]'
 EXTERNAL_REF = rf"(?iu){B0}(Grundriss[A-Za-z0-9_]*|Montageplan[A-Za-z0-9_]*|Protokoll[A-Za-z0-9_]*|Terminplan[A-Za-z0-9_]*|Bestandsm[A-Za-z0-9_]*|Ansichtszeichn[A-Za-z0-9_]*|Beilage[A-Za-z0-9_]*)"
-GERMAN = f"(?iu){B0}(?:(?:und|der|die|das|liefern|montieren){B1}|gemäß{BW}|Stück{B1})"
-ENGLISH = f"(?iu){B0}(?:the|and|shall|must|contractor|installation){B1}"
+#: Language markers, for lower-case text; the first look-ahead only saves time.
+GERMAN = "(?=[dglmsu])(?<![a-z0-9_])(?:(?:und|der|die|das|liefern|montieren|stück)(?![a-z0-9_])|gemäß(?=[a-z0-9_]))"
+ENGLISH = "(?=[acimst])(?<![a-z0-9_])(?:the|and|shall|must|contractor|installation)(?![a-z0-9_])"
 BROKEN_LIGATURE = f"[a-z] (?:on|ng|ed|ce|er|ts){B1}"
 ARTIFACT = "�|Æ|ﬁ|ﬂ"
 
@@ -66,12 +70,18 @@ PAGE_FORM = "contractor details|checklist|tick|please complete|einzutragen"
 
 
 def trim(c: Column) -> Column:
-    return F.regexp_replace(c, rf"\A{S}+|{S}+\z", "")
+    return F.btrim(c, F.lit(WS_CHARS))
+
+
+def spaced(c: Column) -> Column:
+    """Runs of white space become one space. Few texts have any white space beyond ASCII; the others need no wide class."""
+    rare = (F.octet_length(c) != F.length(c)) & c.rlike(RARE)
+    return F.when(rare, F.regexp_replace(c, f"{S}+", " ")).otherwise(F.regexp_replace(c, r"[\t\n\x0B\f\r ]{2,}|[\t\n\x0B\f\r]", " "))
 
 
 def collapse(c: Column) -> Column:
     """Runs of white space become one space, the ends go."""
-    return trim(F.regexp_replace(c, f"{S}+", " "))
+    return F.btrim(spaced(c))
 
 
 def clean_label(c: Column) -> Column:
@@ -81,7 +91,7 @@ def clean_label(c: Column) -> Column:
 
 def normal_line(c: Column) -> Column:
     """The key by which repeated lines are counted: digits are #, white space one space, lower case."""
-    return F.lower(trim(F.regexp_replace(F.regexp_replace(c, r"\d+", "#"), f"{S}+", " ")))
+    return F.lower(F.btrim(spaced(F.regexp_replace(c, "[0-9]+", "#"))))
 
 
 def first_sentence(c: Column) -> Column:

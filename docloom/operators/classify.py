@@ -21,9 +21,10 @@ def chrome_keys(lines: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def content_lines(lines: DataFrame, chrome: DataFrame) -> DataFrame:
-    """``lines`` without those whose key is in ``chrome``, coded lines included."""
-    keyed = lines.withColumn("key", P.normal_line(F.col("text")))
-    return keyed.join(chrome.select("file_id", "key"), ["file_id", "key"], "left_anti").select(*lines.columns)
+    """``lines``, with all their columns, without those whose key is in ``chrome``, coded lines included."""
+    own = "__docloom_key"
+    keyed = lines.withColumn(own, P.normal_line(F.col("text")))
+    return keyed.join(chrome.select("file_id", F.col("key").alias(own)), ["file_id", own], "left_anti").select(*(F.col(f"`{c}`") for c in lines.columns))
 
 
 def page_kind(text: Column) -> Column:

@@ -14,7 +14,7 @@ from docloom.functions import patterns as P
 
 
 def line_classes(lines: DataFrame) -> DataFrame:
-    """Non-blank ``lines`` with t (trimmed), cls, code and rest (the code's or title's text)."""
+    """The non-blank ``lines`` (file_id, page, y, text, line_ord; other columns aren't read) with t (trimmed), cls, code and rest (the code's or title's text)."""
     t = F.col("t")
     code = lambda p: F.regexp_extract("t", p, 1)
     rest = lambda p: F.regexp_extract("t", p, 2)
@@ -27,7 +27,7 @@ def line_classes(lines: DataFrame) -> DataFrame:
         return out.otherwise(last)
 
     recap = F.when(t.rlike(P.RECAP), "recap").otherwise("other")
-    found = lines.withColumn("t", P.trim(F.col("text"))).filter("t <> ''")
+    found = lines.select("file_id", "page", "y", "text", "line_ord").withColumn("t", P.trim(F.col("text"))).filter("t <> ''")
     found = found.withColumn("cls", pick(lambda n, p: F.lit(n), recap)).withColumn("code", pick(lambda n, p: code(p), F.lit(None))).withColumn("rest", P.trim(pick(lambda n, p: rest(p), F.lit(None))))
     return found.filter(~((F.col("cls") == "position") & F.col("rest").rlike(P.LEGEND)))
 

@@ -23,12 +23,12 @@ def is_heading(t: Column) -> Column:
 def prose_lines(content: DataFrame) -> DataFrame:
     """Non-blank ``content`` lines with t, heading, item (text or null), section and idx (items before in the file).
 
-    Section and index are carried from page to page by page summaries, as in the position grammar.
+    Other columns of ``content`` than file_id, page, y, text and line_ord aren't read. Section and index are carried from page to page by page summaries, as in the position grammar.
     """
     t = F.col("t")
     number, bullet = F.regexp_extract("t", P.ITEM_NUMBER, 2), F.regexp_extract("t", P.ITEM_BULLET, 1)
     item = P.trim(F.when(t.rlike(P.ITEM_NUMBER), number).when(t.rlike(P.ITEM_BULLET), bullet))
-    rows = content.withColumn("t", P.trim(F.col("text"))).filter("t <> ''").withColumn("heading", is_heading(t))
+    rows = content.select("file_id", "page", "y", "text", "line_ord").withColumn("t", P.trim(F.col("text"))).filter("t <> ''").withColumn("heading", is_heading(t))
     rows = rows.withColumn("item", F.when(~F.col("heading") & (item != ""), item)).withColumn("own", F.when(F.col("heading"), P.trim(F.regexp_replace("t", r"[:.]+\z", ""))))
     within = Window.partitionBy("file_id", "page").orderBy(F.desc("y"), "line_ord").rowsBetween(Window.unboundedPreceding, 0)
     is_item = F.col("item").isNotNull().cast("long")

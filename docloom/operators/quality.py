@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.functions.patterns import ARTIFACT, BROKEN_LIGATURE, ENGLISH, GERMAN, S, ordered_join, trim
+from docloom.functions.patterns import ARTIFACT, BROKEN_LIGATURE, ENGLISH, GERMAN, ordered_join, spaced, trim
 
 
 def text_quality(text: Column) -> Column:
@@ -15,7 +15,7 @@ def text_quality(text: Column) -> Column:
     t = trim(text)
     artifacts = F.regexp_count(t, F.lit(ARTIFACT))
     broken = F.regexp_count(t, F.lit(BROKEN_LIGATURE))
-    words = F.size(F.split(t, f"{S}+"))
+    words = F.size(F.split(spaced(t), " "))
     bad = (artifacts > 2) | ((broken + artifacts) / F.greatest(words, F.lit(1)) > 0.06)
     return F.when(F.length(t) < 15, "image_only").when(bad, "corrupted").otherwise("clean")
 
@@ -24,21 +24,34 @@ def read_method(quality: Column) -> Column:
     return F.when(quality == "image_only", "image_only").otherwise("text")
 
 
-def page_info(lines: DataFrame) -> DataFrame:
-    """(file_id, page, text_quality, char_count, method) of pages that have lines."""
+def page_info(lines: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    """(file_id, page, text_quality, char_count, method) of ``pages`` (file_id, page); without them of the pages that have lines.
+
+    A page without lines has an empty text, so it is image_only.
+    """
     text = ordered_join([F.col("line_ord")], F.col("text"), "\n")
-    pages = lines.groupBy("file_id", "page").agg(text.alias("text")).withColumn("text_quality", text_quality(F.col("text")))
-    return pages.select("file_id", "page", "text_quality", F.length("text").alias("char_count"), read_method(F.col("text_quality")).alias("method"))
+    found = lines.groupBy("file_id", "page").agg(text.alias("text"))
+    if pages is not None:
+        found = pages.select("file_id", "page").distinct().join(found, ["file_id", "page"], "left")
+    found = found.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("text_quality", text_quality(F.col("text")))
+    return found.select("file_id", "page", "text_quality", F.length("text").alias("char_count"), read_method(F.col("text_quality")).alias("method"))
+
+
+def page_counts(pages: DataFrame) -> DataFrame:
+    """(file_id, n_pages, n_corrupted, n_image_only, n_ocr) of every file of ``page_info``'s rows."""
+    counts = {"n_pages": F.lit(True), "n_corrupted": F.col("text_quality") == "corrupted", "n_image_only": F.col("text_quality") == "image_only", "n_ocr": F.col("method") == "ocr"}
+    return pages.groupBy("file_id").agg(*(F.count_if(c).alias(n) for n, c in counts.items()))
 
 
 def language(text: Column) -> Column:
     """de or en by marker counts; a tie is de."""
-    return F.when(F.regexp_count(text, F.lit(ENGLISH)) > F.regexp_count(text, F.lit(GERMAN)), "en").otherwise("de")
+    low = F.lower(text)
+    return F.when(F.regexp_count(low, F.lit(ENGLISH)) > F.regexp_count(low, F.lit(GERMAN)), "en").otherwise("de")
 
 
 def file_language(lines: DataFrame) -> DataFrame:
     """(file_id, language). The markers never reach over a line's end, so counts are summed by line and no text is joined."""
-    count = lambda p: F.sum(F.regexp_count("text", F.lit(p)))
+    count = lambda p: F.sum(F.regexp_count(F.lower("text"), F.lit(p)))
     return lines.groupBy("file_id").agg(F.when(count(ENGLISH) > count(GERMAN), "en").otherwise("de").alias("language"))
 
 

@@ -32,57 +32,58 @@ def internal_matches(leaves: DataFrame, texts: DataFrame) -> DataFrame:
     names = texts.select("leaf_ord", F.posexplode(F.regexp_extract_all("text", F.lit(P.INTERNAL_REF), F.lit(1))).alias("nth", "raw"))
     names = names.select("leaf_ord", "nth", F.lower(P.trim(F.col("raw"))).alias("name")).filter(F.length("name") >= LEAST_NAME)
     bullets = leaves.select(F.col("leaf_ord").alias("target_ord"), F.lower("bullet_point").alias("bullet"))
-    index = bullets.select("target_ord", "bullet", F.explode(grams(F.col("bullet"))).alias("gram"))
+    index = bullets.select("target_ord", F.explode(grams(F.col("bullet"))).alias("gram"))
     counts = index.groupBy("gram").agg(F.count("*").alias("n"))
     distinct = names.select("name").distinct()
     rarest = distinct.select("name", F.explode(grams(F.col("name"))).alias("gram")).join(counts, "gram", "left").groupBy("name").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("gram"))
-    hits = rarest.join(index, "gram").filter(F.col("bullet").contains(F.col("name")))
-    # The first two targets suffice: one of them may be the leaf itself.
-    first = _first_two(hits)
+    # The index has ids alone; bullets join those that share the name's rarest string.
+    hits = rarest.join(index, "gram").select("name", "target_ord").join(bullets, "target_ord").filter(F.col("bullet").contains(F.col("name")))
+    # The first two targets suffice: one of them may be the leaf itself. Each task keeps two for a name before the shuffle.
+    rank = F.row_number().over(Window.partitionBy("name").orderBy("target_ord"))
+    first = hits.withColumn("rank", rank).filter("rank <= 2").groupBy("name").agg(F.min("target_ord").alias("first"), F.max(F.when(F.col("rank") == 2, F.col("target_ord"))).alias("second"))
     target = F.when(F.col("first") != F.col("leaf_ord"), F.col("first")).otherwise(F.col("second"))
     return names.join(first, "name").withColumn("target_ord", target).filter("target_ord is not null").select("leaf_ord", "nth", "name", "target_ord")
 
 
-def _first_two(hits: DataFrame) -> DataFrame:
-    first = hits.groupBy("name").agg(F.min("target_ord").alias("first"))
-    second = hits.join(first, "name").filter("target_ord > first").groupBy("name").agg(F.min("target_ord").alias("second"))
-    return first.join(second, "name", "left")
-
-
 def resolve_internal(leaves: DataFrame, matches: DataFrame, cut: Callable[[DataFrame, str], DataFrame]) -> tuple[DataFrame, DataFrame]:
     """(leaves with the ids of what they refer to, (leaf_ord, grew)).
 
     Leaves are visited in order, so a leaf that refers back takes what its target has gained, and one that refers ahead takes
-    the target's own ids. Targets behind are resolved first: each round visits the leaves whose targets behind are all done, and is
-    written out. Only leaves with matches take part.
+    the target's own ids. A leaf's list therefore is its own ids, then for each match in order the target's list or its own
+    ids, each id at its first place. Lists begin with marks for targets behind; every round puts the targets' lists as they
+    are in place of the marks, which doubles the links that are followed. Only leaves with matches take part.
     """
     own = leaves.select("leaf_ord", "chunk_ids")
     matches = cut(matches.select("leaf_ord", "nth", "target_ord"), "matches")
-    waiting = matches.select("leaf_ord").distinct()
-    done = None
-    zero = lambda ids: F.struct(ids.alias("ids"), F.lit(0).alias("grew"))
+    if not matches.take(1):
+        return leaves, matches.select("leaf_ord", F.lit(0).alias("grew"))
+    item = "struct<id:string,ref:bigint>"
+    as_items = lambda ids: F.transform(ids, lambda i: F.struct(i.alias("id"), F.lit(None).cast("long").alias("ref")))
+    target = own.select(F.col("leaf_ord").alias("target_ord"), F.col("chunk_ids").alias("t_own"))
+    refers = matches.select(F.col("leaf_ord").alias("target_ord"), F.lit(True).alias("refers")).distinct()
+    took = matches.join(target, "target_ord").join(refers, "target_ord", "left")
+    mark = F.array(F.struct(F.lit(None).cast("string").alias("id"), F.col("target_ord").alias("ref")))
+    took = took.withColumn("items", F.when((F.col("target_ord") < F.col("leaf_ord")) & F.col("refers"), mark).otherwise(as_items(F.col("t_own"))))
+    lists = took.groupBy("leaf_ord").agg(F.sort_array(F.collect_list(F.struct("nth", "target_ord", "items"))).alias("ms")).join(own, "leaf_ord")
+    now = cut(lists.select("leaf_ord", F.array_distinct(F.concat(as_items(F.col("chunk_ids")), F.flatten(F.transform("ms", lambda m: m["items"])))).cast(f"array<{item}>").alias("items")), "lists")
+    while now.filter(F.exists("items", lambda i: i["ref"].isNotNull())).take(1):
+        each = now.select("leaf_ord", F.posexplode("items").alias("pos", "item"))
+        behind = now.select(F.col("leaf_ord").alias("ref"), F.col("items").alias("put"))
+        put = each.withColumn("ref", F.col("item.ref")).join(behind, "ref", "left").withColumn("put", F.coalesce("put", F.array("item")))
+        now = cut(put.groupBy("leaf_ord").agg(F.array_distinct(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("pos", "put"))), lambda x: x["put"]))).alias("items")), "lists")
+    done = now.select("leaf_ord", F.transform("items", lambda i: i["id"]).alias("ids"))
+    # A match counts if it brought anything new when its turn came.
+    final = took.join(done.select(F.col("leaf_ord").alias("target_ord"), F.col("ids").alias("t_all")), "target_ord", "left")
+    brought = F.when(F.col("target_ord") < F.col("leaf_ord"), F.coalesce("t_all", "t_own")).otherwise(F.col("t_own"))
+    steps = final.groupBy("leaf_ord").agg(F.sort_array(F.collect_list(F.struct("nth", brought.alias("ids")))).alias("ms")).join(own, "leaf_ord")
 
     def step(acc: Column, m: Column) -> Column:
         ids = F.array_union(acc["ids"], m["ids"])
         return F.struct(ids.alias("ids"), (acc["grew"] + (F.size(ids) > F.size(acc["ids"])).cast("int")).alias("grew"))
 
-    while waiting.take(1):
-        behind = matches.filter("target_ord < leaf_ord").join(waiting.select(F.col("leaf_ord").alias("target_ord")), "target_ord", "left_semi").select("leaf_ord").distinct()
-        ready = waiting.join(behind, "leaf_ord", "left_anti")
-        known = own if done is None else own.join(done.select("leaf_ord", F.col("ids").alias("new")), "leaf_ord", "left").select("leaf_ord", "chunk_ids", "new")
-        if done is None:
-            known = known.withColumn("new", F.lit(None).cast("array<string>"))
-        target = known.select(F.col("leaf_ord").alias("target_ord"), F.col("chunk_ids").alias("t_own"), "new")
-        took = matches.join(ready, "leaf_ord", "left_semi").join(target, "target_ord")
-        ids = F.when(F.col("target_ord") < F.col("leaf_ord"), F.coalesce("new", "t_own")).otherwise(F.col("t_own"))
-        lists = took.groupBy("leaf_ord").agg(F.sort_array(F.collect_list(F.struct("nth", ids.alias("ids")))).alias("ms")).join(own, "leaf_ord")
-        found = lists.withColumn("out", F.aggregate("ms", zero(F.col("chunk_ids")), step)).select("leaf_ord", F.col("out.ids").alias("ids"), F.col("out.grew").alias("grew"))
-        done = cut(found if done is None else done.unionByName(found), "resolved")
-        waiting = cut(waiting.join(done, "leaf_ord", "left_anti"), "waiting")
-    if done is None:
-        return leaves, matches.select("leaf_ord", F.lit(0).alias("grew"))
+    grew = steps.select("leaf_ord", F.aggregate("ms", F.struct(F.col("chunk_ids").alias("ids"), F.lit(0).alias("grew")), step)["grew"].alias("grew"))
     out = leaves.join(done, "leaf_ord", "left").withColumn("chunk_ids", F.coalesce("ids", "chunk_ids")).select(*leaves.columns)
-    return out, done.select("leaf_ord", "grew")
+    return out, grew
 
 
 def external_refs(leaves: DataFrame, texts: DataFrame) -> DataFrame:
