@@ -24,20 +24,30 @@ def all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.tender_lines(spark, sf_dir).unionByName(lines.prose_lines(spark, sf_dir))
 
 
+def document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return written(lines.document_lines(table(spark, sf_dir, "documents")), "lines")
+
+
 def content_of(rows: DataFrame) -> DataFrame:
+    """``rows``, which are written, without repeated lines."""
     pages = rows.select("file_id", "page").distinct()
     return classify.content_lines(rows, classify.chrome_keys(rows, pages))
 
 
 def segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grammar.segments(grammar.line_classes(content_of(lines.tender_lines(spark, sf_dir))))
+    return segments_of(lines.tender_lines(spark, sf_dir))
+
+
+def segments_of(rows: DataFrame) -> DataFrame:
+    return grammar.segments(written(grammar.line_classes(content_of(rows)), "classes"))
 
 
 def tender_leaves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(chunks with chunk_ord, leaves with leaf_ord) of the tender lines."""
-    found = written(segmented(spark, sf_dir), "segments")
+    rows = lines.tender_lines(spark, sf_dir)
+    found = written(segments_of(rows), "segments")
     chunks = written(grammar.positions(found), "chunks")
-    languages = quality.file_language(lines.tender_lines(spark, sf_dir))
+    languages = quality.file_language(rows)
     own = leaves.build_leaves(chunks, grammar.labels(found, "title"), grammar.labels(found, "group"), languages)
     numbered = written(consolidate.with_ordinals(own, ["file_id", "seg"]), "leaves")
     return consolidate.with_ordinals(chunks, ["file_id", "seg"]).withColumnRenamed("leaf_ord", "chunk_ord"), numbered
@@ -83,12 +93,12 @@ def line_reconstruct(spark, sf_dir):
 
 
 def chrome_keys(spark, sf_dir):
-    rows = lines.document_lines(table(spark, sf_dir, "documents"))
+    rows = document_rows(spark, sf_dir)
     return classify.chrome_keys(rows, rows.select("file_id", "page").distinct())
 
 
 def content_lines(spark, sf_dir):
-    return content_of(lines.document_lines(table(spark, sf_dir, "documents"))).select("file_id", "page", "y", "text")
+    return content_of(document_rows(spark, sf_dir)).select("file_id", "page", "y", "text")
 
 
 def page_kinds(spark, sf_dir):

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: One text for Spark and for the SQL check: tender lines from customer, nation and region.
-TENDER_SQL = """
+from docloom.plans.tables import written
+
+#: One text for Spark and for the SQL check: tender lines from customer, nation and region. Spark writes p out, as it has many readers.
+CUSTOMER_SQL = """
 WITH c AS (
   SELECT concat('f_', lower(replace(r.r_name, ' ', '_'))) AS file_id,
          lpad(cast(r.r_regionkey + 1 AS varchar(2)), 2, '0') AS rr,
@@ -14,9 +16,13 @@ WITH c AS (
          r.r_name, n.n_name, n.n_nationkey, c.c_custkey, c.c_mktsegment,
          row_number() OVER (PARTITION BY n.n_nationkey ORDER BY c.c_custkey) AS k
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
-                  JOIN region r ON n.n_regionkey = r.r_regionkey),
-p AS (SELECT c.*, translate(cast(c_custkey AS varchar(12)), '0123456789', 'abcdefghij') AS tag, n_nationkey * 1000 + cast(floor((k - 1) / 20) AS int) AS page, cast((k - 1) % 20 AS int) AS i FROM c),
-l AS (
+                  JOIN region r ON n.n_regionkey = r.r_regionkey)
+SELECT c.*, translate(cast(c_custkey AS varchar(12)), '0123456789', 'abcdefghij') AS tag, n_nationkey * 1000 + cast(floor((k - 1) / 20) AS int) AS page, cast((k - 1) % 20 AS int) AS i FROM c
+"""
+LINES_SQL = """
+SELECT file_id, page, cast(1000 - slot AS double) AS y, cast(0 AS double) AS x, text,
+       row_number() OVER (PARTITION BY file_id ORDER BY page, slot) AS line_ord
+FROM (
   SELECT DISTINCT file_id, page, 0 AS slot, concat('Seite ', cast(page AS varchar(8)), ' von 99') AS text FROM p
   UNION ALL SELECT DISTINCT file_id, min(page) OVER (PARTITION BY file_id), 1, concat(rr, ' ', r_name, ' ...') FROM p
   UNION ALL SELECT DISTINCT file_id, page, 2, concat(rr, '.', nn, ' ', n_name, ' .....') FROM p WHERE k = 1
@@ -31,11 +37,9 @@ l AS (
        CASE WHEN c_custkey % 11 = 0 THEN '' ELSE concat(' je ', tag) END) FROM p WHERE c_custkey % 17 <> 0
   UNION ALL SELECT file_id, page, 13 + i * 5, '..........' FROM p WHERE c_custkey % 17 <> 0
   UNION ALL SELECT DISTINCT file_id, page, 998, 'Planungsbüro Muster GmbH' FROM p
-  UNION ALL SELECT file_id, max(page), 997, concat('Summe ', min(rr)) FROM p GROUP BY file_id)
-SELECT file_id, page, cast(1000 - slot AS double) AS y, cast(0 AS double) AS x, text,
-       row_number() OVER (PARTITION BY file_id ORDER BY page, slot) AS line_ord
-FROM l
+  UNION ALL SELECT file_id, max(page), 997, concat('Summe ', min(rr)) FROM p GROUP BY file_id) l
 """
+TENDER_SQL = f"WITH p AS ({CUSTOMER_SQL}) {LINES_SQL}"
 
 #: The same for prose tenders: a preamble, headings and lists.
 PROSE_SQL = """
@@ -61,12 +65,13 @@ def views(spark: SparkSession, sf_dir: str, *names: str) -> None:
 
 def tender_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     views(spark, sf_dir, "customer", "nation", "region")
-    return spark.sql(TENDER_SQL)
+    written(spark.sql(CUSTOMER_SQL), "customers").createOrReplaceTempView("p")
+    return written(spark.sql(LINES_SQL), "lines")
 
 
 def prose_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     views(spark, sf_dir, "supplier")
-    return spark.sql(PROSE_SQL)
+    return written(spark.sql(PROSE_SQL), "lines")
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
