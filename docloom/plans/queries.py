@@ -11,6 +11,7 @@ from docloom.functions.patterns import tokens
 from docloom.operators import audit, classify, consolidate, grammar, layout, leaves, prose, providers, quality, references, tree
 from docloom.sources import files, lines
 
+from . import pipeline
 from .tables import written
 
 BUDGET = 100
@@ -34,6 +35,13 @@ def content_of(rows: DataFrame) -> DataFrame:
     return classify.content_lines(rows, classify.chrome_keys(rows, pages))
 
 
+def prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(all lines, their content, page kinds), written."""
+    rows = written(all_lines(spark, sf_dir), "lines")
+    content = written(content_of(rows), "content")
+    return rows, content, written(classify.page_kinds(content, rows.select("file_id", "page").distinct()), "kinds")
+
+
 def segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments_of(lines.tender_lines(spark, sf_dir))
 
@@ -165,6 +173,44 @@ def obligations(spark, sf_dir):
     return providers.StubProvider().obligations(text).withColumn("i", F.col("i").cast("long"))
 
 
+def pages_report(spark, sf_dir):
+    """Counts of pages by file; every fifth text is broken, every seventh page is empty, OCR reads every other broken page."""
+    docs = table(spark, sf_dir, "documents").withColumn("text", F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("installa on tes ng "), F.substring("text", 1, 60))).otherwise(F.col("text")))
+    pages = docs.select(F.col("source").alias("file_id"), F.col("doc_id").alias("page"))
+    rows = written(lines.document_lines(docs.filter("doc_id % 7 <> 0")), "lines")
+    info = written(quality.page_info(rows, pages), "info")
+    _, info = quality.ocr_replace(rows, info, lambda p: p.filter("page % 2 = 0").withColumn("text", F.lit("a page that was read again\n\n from its picture ")))
+    return quality.page_counts(info)
+
+
+def preamble_texts(spark, sf_dir):
+    rows, content, kinds = prepared(spark, sf_dir)
+    has = pipeline.parse_content(content)[3]
+    texts = leaves.preamble_texts(content, kinds, has, quality.file_language(rows))
+    return texts.select("file_id", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"), "language")
+
+
+def no_positions(spark, sf_dir):
+    """Chunks of files with positions, and list items of those without."""
+    chunks = pipeline.parse_content(prepared(spark, sf_dir)[1])[0]
+    return chunks.select("id", "file_id", "page", "kind", F.md5("text").alias("text_md5"), "section")
+
+
+def room_codes(spark, sf_dir):
+    """Grouping keys where positions and groups have room codes, glued to their title."""
+    text = F.regexp_replace("text", r"^(\d{2})\.(\d{2})\.(\d{2})(\d{2}) ", "GU.$1.$2.$3.$4")
+    rows = written(lines.tender_lines(spark, sf_dir).withColumn("text", F.regexp_replace(text, r"^(\d{2})\.(\d{2}) ", "GU.$1.$2 ")), "lines")
+    found = written(segments_of(rows), "segments")
+    keyed = leaves.level_keys(grammar.positions(found).filter("kind = 'position'"), grammar.labels(found, "title"), grammar.labels(found, "group"))
+    return keyed.select("id", "level1_key", "level1_label", "level2_key", "level2_label")
+
+
+def legend_skip(spark, sf_dir):
+    """Positions where some coded lines only explain the numbering; what follows them belongs to the position before."""
+    rows = lines.tender_lines(spark, sf_dir).withColumn("text", F.regexp_replace("text", r"^(\d{2}\.\d{2}\.\d{3}3) .*$", "$1 laufende Nr der Position"))
+    return grammar.positions(segments_of(written(rows, "lines"))).select("id", "kind", "title", F.md5("text").alias("text_md5"), "quantity")
+
+
 def modality_legend(spark, sf_dir):
     return leaves.modality_legend(all_lines(spark, sf_dir))
 
@@ -175,7 +221,7 @@ def consolidate_exact(spark, sf_dir):
 
 def _doc_tokens(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return docs.select("source", F.col("doc_id").alias("ord"), tokens(F.substring(F.coalesce("text", F.lit("")), 1, consolidate.SIMILAR_CHARS), 3).alias("toks"))
+    return docs.select("source", F.col("doc_id").alias("ord"), tokens(F.coalesce("text", F.lit("")), 3).alias("toks"))
 
 
 def jaccard_candidates(spark, sf_dir):
@@ -183,14 +229,14 @@ def jaccard_candidates(spark, sf_dir):
 
 
 def merge_greedy(spark, sf_dir):
-    """Leaves after merges that a verifier confirms: here one that asks for a similarity of 0.9."""
+    """Leaves after merges that a verifier confirms: here one that asks for a similarity of 0.75 of all words."""
 
     def words(leaf: dict) -> set:
         return set(f"{leaf['bullet_point']} {leaf['description_source'][:200]}".lower().split())
 
     def verify(a: dict, b: dict) -> bool:
         x, y = words(a), words(b)
-        return len(x & y) >= 0.9 * len(x | y)
+        return 4 * len(x & y) >= 3 * len(x | y)
 
     merged = written(merged_leaves(spark, sf_dir)[1], "merged")
     return consolidate.merge_similar(merged, verify, 60).select("leaf_ord", "level2_key", "bullet_point", joined_ids())
@@ -210,6 +256,18 @@ def refs_resolved(spark, sf_dir):
     return out.join(grew, "leaf_ord", "left").select("leaf_ord", "bullet_point", joined_ids(), F.coalesce("grew", F.lit(0)).cast("long").alias("grew"))
 
 
+def refs_report(spark, sf_dir):
+    """The report of references, in a run without and with an annex."""
+    chunks, merged = merged_leaves(spark, sf_dir)
+    merged, chunks = written(merged, "merged"), written(chunks, "chunks")
+    out = []
+    for role in ("main_lv", "annex"):
+        _, report = references.resolve_references(merged, chunks, spark.createDataFrame([(role,)], "role_guess string"), written)
+        listed = F.array_join(F.transform("unresolved", lambda x: F.concat_ws("=", x["leaf_bullet_point"], x["reference"])), "|")
+        out.append(report.select(F.lit(role).alias("role"), "scanned_leaves", "internal_resolved", "external_unresolved", F.size("unresolved").cast("long").alias("n_listed"), listed.alias("listed")))
+    return out[0].unionByName(out[1])
+
+
 def refs_external(spark, sf_dir):
     chunks, merged = merged_leaves(spark, sf_dir)
     merged = written(merged, "merged")
@@ -225,15 +283,27 @@ def tree_level_counts(spark, sf_dir):
     return tree.level_counts(merged_leaves(spark, sf_dir)[1])
 
 
+def faulty(leaves: DataFrame) -> DataFrame:
+    """``leaves`` with faults: priorities and confidences that the schema doesn't know, empty names and labels."""
+    n = F.col("leaf_ord")
+    return leaves.withColumns({
+        "priority": F.when(n % 97 == 5, "later").otherwise(F.col("priority")), "confidence": F.when(n % 89 == 3, "sure").when(n % 83 == 2, F.lit(None)).when(n % 79 == 1, "low").otherwise(F.col("confidence")),
+        "bullet_point": F.when(n % 101 == 7, "").otherwise(F.col("bullet_point")), "level2_label": F.when(n % 103 == 9, F.lit(None)).otherwise(F.col("level2_label")),
+    })
+
+
 def coverage_report(spark, sf_dir):
+    """The report on faulty leaves, of which some are lost and leave their chunks orphans."""
     chunks, merged = merged_leaves(spark, sf_dir)
-    return audit.coverage(merged, chunks).withColumn("orphan_chunks", F.array_join("orphan_chunks", ","))
+    return audit.coverage(faulty(merged.filter("leaf_ord % 50 <> 9")), chunks).withColumn("orphan_chunks", F.array_join("orphan_chunks", ","))
 
 
 def grounding(spark, sf_dir):
-    said = table(spark, sf_dir, "benchmark").withColumnRenamed("text", "said")
-    pairs = said.join(table(spark, sf_dir, "documents"), F.col("item_id") == F.col("doc_id"))
-    return pairs.select("item_id", F.round(audit.grounding(F.col("said"), F.col("text")), 6).alias("grounding"))
+    """Grounding of every leaf whose description lost or gained a word."""
+    chunks, merged = merged_leaves(spark, sf_dir)
+    n = F.col("leaf_ord")
+    said = merged.withColumn("description_source", F.when(n % 3 == 0, F.concat("description_source", F.lit(" erfundener Zusatz"))).when(n % 5 == 0, "ab").otherwise(F.col("description_source")))
+    return audit.leaf_grounding(said, chunks).select("leaf_ord", F.round("grounding", 6).alias("grounding"))
 
 
 def llm_budget_split(spark, sf_dir):
@@ -251,13 +321,13 @@ def usage_cost(spark, sf_dir):
 
 
 def schema_audit(spark, sf_dir):
-    return audit.schema_audit(merged_leaves(spark, sf_dir)[1])
+    return audit.schema_audit(faulty(merged_leaves(spark, sf_dir)[1]))
 
 
 QUERIES = (
     file_manifest, lang_detect, page_quality, page_quality_ligature, line_reconstruct, chrome_keys, content_lines, page_kinds, page_kind_counts, lv_titles, lv_groups, lv_positions, lv_voids,
     lv_quantities, prose_sections, prose_items, leaf_grouping_keys, enrich_stub, enrich_leaves, obligations, modality_legend, consolidate_exact, jaccard_candidates, merge_greedy, refs_internal,
-    refs_resolved, refs_external, tree_nested, tree_level_counts, coverage_report, grounding, llm_budget_split, usage_cost, schema_audit,
+    refs_resolved, refs_report, refs_external, pages_report, preamble_texts, no_positions, room_codes, legend_skip, tree_nested, tree_level_counts, coverage_report, grounding, llm_budget_split, usage_cost, schema_audit,
 )
 
 
