@@ -1,11 +1,14 @@
-"""Run settings and the command line."""
+"""Run settings, the command line and the log."""
 
 from __future__ import annotations
 
+import argparse
 import json
 import logging
+import math
 import sys
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 
 @dataclass(frozen=True)
@@ -16,43 +19,52 @@ class RunConfig:
     llm_concurrency: int = 6
     llm_max: int | None = None
     merge_max: int = 60
+    lines: bool = False
+    parser: str | None = None
+
+
+def _number(text: str | None) -> float:
+    """Not a number where ``text`` is none; a flag without a value counts as text."""
+    try:
+        return float(text)
+    except (TypeError, ValueError):
+        return math.nan
 
 
 def parse_args(argv: list[str]) -> RunConfig:
-    """``--key value`` or a bare ``--key``, which means true; other words are skipped; --input is needed.
+    """Settings from the command line; unknown words are skipped.
 
-    A concurrency of 0 or none is 6, a negative one is 1; a cap that is no number is no LLM cap, and no merges.
+    --use-llm is on alone or with the value true. A concurrency that is no number or 0 is 6, and at least 1. An --llm-max
+    that is no number is no limit, a --merge-max that is none allows no merges. --lines: the folder holds line tables; else
+    PDFs, read by --parser MODULE:FUNCTION.
     """
-    flags: dict[str, str] = {}
-    i = 0
-    while i < len(argv):
-        if argv[i].startswith("--"):
-            bare = i + 1 >= len(argv) or argv[i + 1].startswith("--")
-            flags[argv[i][2:]] = "true" if bare else argv[i + 1]
-            i += 1 if bare else 2
-        else:
-            i += 1
-
-    if not flags.get("input"):
-        raise ValueError("usage: --input FOLDER [--output FOLDER] [--use-llm] [--llm-concurrency N] [--llm-max N] [--merge-max N]")
+    flags = argparse.ArgumentParser(prog="docloom", allow_abbrev=False)
+    flags.add_argument("--input", required=True, metavar="FOLDER")
+    flags.add_argument("--output", default="output", metavar="FOLDER")
+    flags.add_argument("--lines", action="store_true")
+    flags.add_argument("--parser")
+    for name, default in (("--use-llm", "false"), ("--llm-concurrency", "6"), ("--llm-max", "inf"), ("--merge-max", "60")):
+        flags.add_argument(name, nargs="?", const="true", default=default)
+    flags.exit_on_error = False
+    try:
+        given, _ = flags.parse_known_args(argv)
+    except (argparse.ArgumentError, SystemExit) as e:
+        raise ValueError(f"{flags.format_usage().strip()}: {e}") from None
+    slots, most, merges = map(_number, (given.llm_concurrency, given.llm_max, given.merge_max))
+    return RunConfig(
+        input=given.input, output=given.output, use_llm=given.use_llm == "true", llm_concurrency=max(1, int(slots)) if math.isfinite(slots) and slots else 6,
+        llm_max=int(most) if math.isfinite(most) else None, merge_max=0 if math.isnan(merges) else int(min(merges, sys.maxsize)), lines=given.lines, parser=given.parser,
+    )
 
-    def number(key: str, default: int | None, bad: int | None) -> int | None:
-        if key not in flags:
-            return default
-        try:
-            return int(float(flags[key]))
-        except ValueError:
-            return bad
 
-    return RunConfig(
-        flags["input"], flags.get("output", "output"), flags.get("use-llm") == "true", max(1, number("llm-concurrency", 6, 6) or 6), number("llm-max", None, None), number("merge-max", 60, 0) or 0
-    )
+def now() -> str:
+    return datetime.now(UTC).isoformat(timespec="milliseconds").replace("+00:00", "Z")
 
 
 class JsonLines(logging.Formatter):
     def format(self, record: logging.LogRecord) -> str:
         own = {"ts": self.formatTime(record, "%Y-%m-%dT%H:%M:%S"), "level": record.levelname.lower(), "stage": getattr(record, "stage", record.name), "msg": record.getMessage()}
-        return json.dumps(own | ({"data": record.data} if hasattr(record, "data") else {}))
+        return json.dumps(own | ({"data": record.data} if hasattr(record, "data") else {}), default=str)
 
 
 def logger() -> logging.Logger:

@@ -11,6 +11,9 @@ from docloom.functions.patterns import tokens
 
 LEAST = 0.7
 SIMILAR_CHARS = 200
+#: Candidate pairs that the driver looks at together.
+PAIRS = 500
+ORDINALS = 10_000
 
 
 def merge_exact(leaves: DataFrame) -> DataFrame:
@@ -107,23 +110,34 @@ def greedy_fold(pairs: Iterator[tuple[int, int]], verify: Callable[[int, int], b
 def merge_similar(leaves: DataFrame, verify: Callable[[dict, dict], bool] | None, budget: int) -> DataFrame:
     """Leaves after the verified merges: a leaf takes the ids of those it absorbs.
 
-    ``verify`` gets two leaves as dicts and is asked at most ``budget`` times, so what the driver holds is bounded by that;
-    candidates come to it lazily in order. None (the default provider) verifies nothing.
+    ``verify`` gets two leaves as dicts and is asked at most ``budget`` times; candidates come to the driver in order, at most
+    PAIRS at a time. None (the default provider) verifies nothing.
     """
     if verify is None or budget <= 0:
         return leaves
     spark = leaves.sparkSession
-    pairs = candidate_order(leaves)
-    facts = leaves.select("leaf_ord", "bullet_point", "description_source", "equivalence_allowed")
-    dicts = pairs.join(facts.select(F.col("leaf_ord").alias("a"), F.struct(*facts.columns).alias("fa")), "a").join(facts.select(F.col("leaf_ord").alias("b"), F.struct(*facts.columns).alias("fb")), "b").orderBy("block_ord", "a", "b")
-    known: dict = {}
+    order = ["block_ord", "a", "b"]
+    pairs, facts = candidate_order(leaves).select(*order), ["leaf_ord", "bullet_point", "description_source", "equivalence_allowed"]
+    merged: list[tuple[int, int]] = []
+    last, asked = None, [0]
+    while asked[0] < budget:
+        gone = [b for _, b in merged]
+        open_pairs = pairs.filter(~F.col("a").isin(gone) & ~F.col("b").isin(gone)) if gone else pairs
+        if last:
+            open_pairs = open_pairs.filter(F.struct(*order) > F.struct(*(F.lit(v).cast("long").alias(n) for n, v in zip(order, last, strict=True))))
+        # A bounded number of pairs at a time, without texts: each partition keeps its first ones.
+        some = [(r["block_ord"], r["a"], r["b"]) for r in open_pairs.orderBy(*order).limit(PAIRS).collect()]
+        if not some:
+            break
+        last = some[-1]
+        rows = [r.asDict() for r in leaves.select(*facts).filter(F.col("leaf_ord").isin(sorted({x for _, a, b in some for x in (a, b)}))).collect()]
+        known = {r["leaf_ord"]: r for r in rows}
 
-    def each() -> Iterator[tuple[int, int]]:
-        for r in dicts.toLocalIterator():
-            known["pair"] = (r["fa"].asDict(), r["fb"].asDict())
-            yield r["a"], r["b"]
+        def confirmed(a: int, b: int, known: dict = known) -> bool:
+            asked[0] += 1
+            return verify(known[a], known[b])
 
-    merged = greedy_fold(each(), lambda a, b: verify(*known["pair"]), budget)
+        merged += greedy_fold(((a, b) for _, a, b in some), confirmed, budget - asked[0])
     if not merged:
         return leaves
     table = spark.createDataFrame([(a, b, i) for i, (a, b) in enumerate(merged)], "keeper long, leaf_ord long, nth long")
@@ -144,12 +158,18 @@ def absorb(leaves: DataFrame, merged: DataFrame) -> DataFrame:
 
 
 def with_ordinals(leaves: DataFrame, order: list[str]) -> DataFrame:
-    """``leaves`` with leaf_ord from 0 in ``order``, whose first column is the file.
+    """``leaves`` with leaf_ord from 0 in ``order``, whose first column is the file and whose last is the place in it.
 
-    Rows are numbered within files and files are offset by the sizes of those before, so no task sees all rows.
+    Places are numbers, so a file's rows are cut by them into ranges of ORDINALS. Rows are numbered within ranges, ranges
+    are offset by the sizes of those before them, so neither all rows nor a giant file's rows meet in a task.
     """
-    file = order[0]
-    sizes = leaves.groupBy(file).agg(F.count("*").alias("n"))
-    offsets = sizes.select(file, F.coalesce(F.sum("n").over(Window.orderBy(file).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
-    within = F.row_number().over(Window.partitionBy(file).orderBy(*order[1:])) - 1
-    return leaves.withColumn("leaf_ord", within.cast("long")).join(offsets, file).withColumn("leaf_ord", F.col("leaf_ord") + F.col("offset")).drop("offset")
+    cut = "__docloom_range"
+    keys = [*order[:-1], cut]
+    dealt = leaves.withColumn(cut, F.floor(F.col(order[-1]) / ORDINALS))
+    sizes = dealt.groupBy(*keys).agg(F.count("*").alias("n"))
+    files = sizes.groupBy(order[0]).agg(F.sum("n").alias("n"))
+    before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.withColumn("within", before(Window.partitionBy(order[0]).orderBy(*keys[1:]))).drop("n").join(files.select(order[0], before(Window.orderBy(order[0])).alias("offset")), order[0])
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(order[-1])) - 1
+    numbered = dealt.withColumn("leaf_ord", rank.cast("long")).join(offsets, keys)
+    return numbered.withColumn("leaf_ord", F.col("leaf_ord") + F.col("within") + F.col("offset")).drop("within", "offset", cut)

@@ -168,9 +168,7 @@ def enrich_leaves(spark, sf_dir):
 
 
 def obligations(spark, sf_dir):
-    rows = lines.prose_lines(spark, sf_dir)
-    text = rows.groupBy("file_id").agg(leaves.P.ordered_join([F.col("line_ord")], F.col("text"), "\n").alias("text"))
-    return providers.StubProvider().obligations(text).withColumn("i", F.col("i").cast("long"))
+    return providers.StubProvider().obligations(lines.prose_lines(spark, sf_dir).select("file_id", "line_ord", "text")).withColumn("i", F.col("i").cast("long"))
 
 
 def pages_report(spark, sf_dir):

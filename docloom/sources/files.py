@@ -52,21 +52,37 @@ def scan_folder(spark: SparkSession, folder: str, pattern: str = "*.[pP][dD][fF]
 TOKENS = "file_id string, page int, tok_ord int, str string, x double, y double"
 
 
-def pdf_tokens(files: DataFrame, parse: Callable[[bytes], Iterator[tuple[int, str, float, float]]]) -> DataFrame:
-    """Tokens of ``files`` (path, content) by a parser that yields (page, string, x, y); no PDF library is needed otherwise."""
+def file_keys(files: DataFrame) -> DataFrame:
+    """(path, content, file_id): ``files`` with the number of the file by name, as text of one length.
+
+    In a run it stands for the file, so files keep their order by name, and names with one slug stay apart.
+    """
+    order = F.row_number().over(Window.orderBy(base_name(F.col("path")))) - 1  # names alone are sorted
+    keys = files.select("path").withColumn("file_id", F.lpad(order.cast("string"), 9, "0"))
+    return files.join(keys, "path").select("path", "content", "file_id")
+
+
+def pdf_tokens(files: DataFrame, parse: Callable[[bytes], Iterator[tuple]]) -> DataFrame:
+    """Tokens of ``files`` (path, content and perhaps file_id, else the slug) by ``parse``; no PDF library is needed otherwise.
+
+    ``parse`` yields (page, string, x, y) and, for every page, may yield (page, None, None, None): a page without tokens
+    has that row alone, with a null str.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for name, content in zip(b["file_id"], b["content"], strict=True):
-                rows = [(name, page, i, s, x, y) for i, (page, s, x, y) in enumerate(parse(content)) if isinstance(s, str)]
-                yield pd.DataFrame(rows, columns=["file_id", "page", "tok_ord", "str", "x", "y"])
+                rows = [(name, page, i, s if isinstance(s, str) else None, x, y) for i, (page, s, x, y) in enumerate(parse(content))]
+                yield pd.DataFrame(rows, columns=["file_id", "page", "tok_ord", "str", "x", "y"]).astype({"x": float, "y": float})
 
-    return files.select(file_id(base_name(F.col("path"))).alias("file_id"), "content").mapInPandas(run, TOKENS)
+    name = F.col("file_id") if "file_id" in files.columns else file_id(base_name(F.col("path")))
+    return files.select(name.alias("file_id"), "content").mapInPandas(run, TOKENS)
 
 
 def tesseract(files: DataFrame, dpi: int = 300, lang: str = "eng") -> Callable[[DataFrame], DataFrame]:
     """An ``ocr`` for ``ocr_replace`` by pdftoppm and tesseract; a page whose tools are missing or fail has a null text."""
-    content = files.select(file_id(base_name(F.col("path"))).alias("file_id"), "content")
+    name = F.col("file_id") if "file_id" in files.columns else file_id(base_name(F.col("path")))
+    content = files.select(name.alias("file_id"), "content")
 
     def read(data: bytes, page: int) -> str | None:
         if not (shutil.which("pdftoppm") and shutil.which("tesseract")):

@@ -236,7 +236,7 @@ def test_retry():
 def test_client_provider_and_budget(spark):
     class Client:
         def enrich(self, r):
-            return {"bullet_point": "said", "priority": "should"}
+            return {"bullet_point": "said", "description": r["text"], "priority": "should", "equivalence_allowed": None, "confidence": "low"}
 
         def obligations(self, text, language):
             return [{"bullet_point": "o", "description": text, "priority": "must"}]
