@@ -4,8 +4,8 @@ Sets of similarity ``t`` or more share at least ``l`` of the first ``n - ceil(t
 shingles that is the same for both. Only these prefixes are dealt out, with an ``l`` that grows with the set: a text of
 which too few prefix shingles occur anywhere else is done with, whatever passages it shares. The others leave out their
 most frequent shingles, as many as keep one in common, and meet in the buckets of the rest. The order puts shingles
-that are common in a sample last; what the sample holds changes no result. In a bucket, sizes and the shingle counts in
-BINS classes bound the similarity from above. First, each text is compared shingle by shingle with one that the bound leaves,
+that are common in a sample last; what the sample holds changes no result. In a bucket, sizes and bit maps bound the
+similarity from above: a bit that one set has and the other lacks is a shingle that they don't share. First, each text is compared shingle by shingle with one that the bound leaves,
 beside the pairs that the caller proposes; then every pair that the bound leaves between groups not yet linked.
 """
 
@@ -27,15 +27,16 @@ WIDTH = 5
 #: The least similarity of a pair, as a fraction.
 SIMILARITY = (4, 5)
 ROW, DIGEST = "__docloom_row", "__docloom_shingles"
-BINS = 64
+#: 64-bit words of a set's bit map: the least power of two with 8 bits for each shingle, within these.
+WORDS = (8, 32)
 #: Rows of a bucket's parts.
 BUCKET_ROWS = 4000
 #: A set's ``l``: one for so many shingles, but at least 1.
 SHARED = 10
 #: Texts whose common shingles go last in the order, and how many of these shingles the driver holds at most.
 SAMPLE_DOCS, COMMON = 2000, 50_000
-#: Counts that are compared at once.
-BLOCK_CELLS = 1 << 22
+#: Words that are compared at once.
+BLOCK_WORDS = 1 << 19
 
 
 def shingle_set(text: bytes, width: int = WIDTH) -> np.ndarray:
@@ -60,9 +61,39 @@ def prefix(found: np.ndarray, common: np.ndarray, counts: np.ndarray, least: tup
     return found[np.lexsort((found, rank))[:size]]
 
 
-def binned(found: np.ndarray) -> bytes:
-    """How many shingles fall in each class, at most 255 in one; the rest, whatever its classes, could be shared."""
-    return np.minimum(np.bincount((found >> np.uint64(58)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
+def bit_map(found: np.ndarray) -> bytes:
+    """A bit for the lowest bits of each shingle's hash."""
+    words = min(max(WORDS[0], 1 << (len(found) // 8).bit_length()), WORDS[1])
+    bits = np.zeros(64 * words, bool)
+    bits[(found % np.uint64(64 * words)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+class Maps:
+    """Bit maps of a bucket's rows, also folded to the shorter lengths."""
+
+    def __init__(self, maps: list[bytes]):
+        self.words = np.array([len(x) // 8 for x in maps])
+        longest = int(self.words.max())
+        full = np.frombuffer(b"".join(x.ljust(8 * longest, b"\0") for x in maps), np.uint64).reshape(len(maps), longest)
+        self.folded = {longest: full}
+        while longest > self.words.min():
+            half = longest // 2
+            both = full[:, :half].copy()
+            both[self.words > half] |= full[self.words > half, half:]
+            full, longest = both, half
+            self.folded[half] = full
+
+    def shared(self, x: int, others: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """At most how many shingles ``others`` share with ``x``."""
+        out = np.empty(len(others), np.int64)
+        for words in np.unique(self.words[others]).tolist():
+            rows = self.folded[min(words, int(self.words[x]))]
+            at = np.flatnonzero(self.words[others] == words)
+            a, b = rows[x], rows[others[at]]
+            lack = [np.bitwise_count(c).sum(axis=1, dtype=np.int64) for c in (a & ~b, b & ~a)]
+            out[at] = np.minimum(sizes[x] - lack[0], sizes[others[at]] - lack[1])
+        return out
 
 
 def alike(a: np.ndarray, b: np.ndarray, least: tuple[int, int] = SIMILARITY) -> bool:
@@ -71,57 +102,53 @@ def alike(a: np.ndarray, b: np.ndarray, least: tuple[int, int] = SIMILARITY) ->
     return shared * least[1] >= (len(a) + len(b) - shared) * least[0]
 
 
-def possible(bins: np.ndarray, sizes: np.ndarray, x: int, others: np.ndarray, least: tuple[int, int]) -> np.ndarray:
+def possible(maps: Maps, sizes: np.ndarray, x: int, others: np.ndarray, least: tuple[int, int]) -> np.ndarray:
     """Those of ``others`` whose similarity to ``x`` isn't bounded below the least."""
     n, m = sizes[x], sizes[others]
     others = others[np.minimum(n, m) * least[1] >= np.maximum(n, m) * least[0]]
-    own_rest = n - bins[x].sum(dtype=np.int64)
-    step, found = max(1, BLOCK_CELLS // BINS), []
+    step, found = BLOCK_WORDS // WORDS[1], []
     for i in range(0, len(others), step):
         part = others[i : i + step]
-        rest = np.minimum(own_rest, sizes[part] - bins[part].sum(axis=1, dtype=np.int64))
-        shared = np.minimum(bins[part], bins[x]).sum(axis=1, dtype=np.int64) + rest
+        shared = maps.shared(x, part, sizes)
         found.append(part[shared * least[1] >= (n + sizes[part] - shared) * least[0]])
     return np.concatenate(found) if found else others
 
 
-def spanning(rows: np.ndarray, bins: np.ndarray, sizes: np.ndarray, least: tuple[int, int]) -> list[tuple[int, int]]:
+def spanning(rows: np.ndarray, maps: Maps, sizes: np.ndarray, least: tuple[int, int]) -> list[tuple[int, int]]:
     """Possible pairs that span what possible pairs join."""
     left, pairs = np.arange(len(rows)), []
     while len(left):
         queue, left = [left[0]], left[1:]
         while queue and len(left):
             x = queue.pop()
-            near = possible(bins, sizes, x, left, least)
+            near = possible(maps, sizes, x, left, least)
             pairs += [(rows[x], rows[y]) for y in near]
             queue += near.tolist()
             left = np.setdiff1d(left, near, assume_unique=True)
     return pairs
 
 
-def crossing(rows: np.ndarray, bins: np.ndarray, sizes: np.ndarray, roots: np.ndarray, least: tuple[int, int]) -> list[tuple[int, int]]:
+def crossing(rows: np.ndarray, maps: Maps, sizes: np.ndarray, roots: np.ndarray, least: tuple[int, int]) -> list[tuple[int, int]]:
     """All possible pairs of rows with different roots."""
     pairs = []
     for x in range(len(rows) - 1) if (roots != roots[0]).any() else ():
         others = np.arange(x + 1, len(rows))
-        pairs += [(rows[x], rows[y]) for y in possible(bins, sizes, x, others[roots[others] != roots[x]], least)]
+        pairs += [(rows[x], rows[y]) for y in possible(maps, sizes, x, others[roots[others] != roots[x]], least)]
     return pairs
 
 
 def bucket_pairs(buckets: DataFrame, pairs: Callable[..., list], least: tuple[int, int]) -> DataFrame:
-    """(a, b): what ``pairs`` finds in every bucket of ``buckets`` (h, part, row, n, bins and perhaps root)."""
-    names = [c for c in ("row", "bins", "n", "root") if c in buckets.columns]
+    """(a, b): what ``pairs`` finds in every bucket of ``buckets`` (h, part, row, n, bits and perhaps root)."""
+    names = [c for c in ("n", "root") if c in buckets.columns]
     n = int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def cut(table: pa.Table, last: bool) -> tuple[pa.RecordBatch, pa.Table]:
         h, part = table.column("h").to_numpy(), table.column("part").to_numpy()
         begins = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (part[1:] != part[:-1])])
         ends = np.r_[begins[1:], len(h)]
-        columns = []
-        for c in names:
-            values = table.column(c).combine_chunks()
-            columns.append(np.frombuffer(b"".join(values.to_pylist()), np.uint8).reshape(-1, BINS) if c == "bins" else values.to_numpy(zero_copy_only=False))
-        found = [p for b, e in zip(begins[: len(begins) - (not last)].tolist(), ends.tolist(), strict=False) if e - b > 1 for p in pairs(*(c[b:e] for c in columns), least)]
+        rows, bits = table.column("row").to_numpy(), table.column("bits").to_pylist()
+        columns = [table.column(c).to_numpy() for c in names]
+        found = [p for b, e in zip(begins[: len(begins) - (not last)].tolist(), ends.tolist(), strict=False) if e - b > 1 for p in pairs(rows[b:e], Maps(bits[b:e]), *(c[b:e] for c in columns), least)]
         both = np.array(found, np.int64).reshape(-1, 2)
         return pa.record_batch([pa.array(both.min(axis=1)), pa.array(both.max(axis=1))], names=["a", "b"]), table.slice(len(h) if last else begins[-1])
 
@@ -169,7 +196,7 @@ def distinct_sets(df: DataFrame, id_col: str, text_col: str, width: int) -> Data
 
 
 def sketches(texts: DataFrame, width: int, least: tuple[int, int]) -> DataFrame:
-    """(row, n, fp, bins, prefix) for every row of ``texts`` (row, text)."""
+    """(row, n, fp, bits, prefix) for every row of ``texts`` (row, text)."""
     common, counts = common_shingles(texts, width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,10 +206,10 @@ def sketches(texts: DataFrame, width: int, least: tuple[int, int]) -> DataFrame:
                 sets = [np.unique(h) for h in hashes]
                 prints = np.array([fingerprint(h) for h in hashes], np.uint64).view(np.int64)
                 firsts = pa.array([prefix(x, common, counts, least).view(np.int64) for x in sets], pa.list_(pa.int64()))
-                columns = [b.column("row"), pa.array(map(len, sets), pa.int64()), pa.array(prints), pa.array(map(binned, sets), pa.binary()), firsts]
-                yield pa.record_batch(columns, names=["row", "n", "fp", "bins", "prefix"])
+                columns = [b.column("row"), pa.array(map(len, sets), pa.int64()), pa.array(prints), pa.array(map(bit_map, sets), pa.binary()), firsts]
+                yield pa.record_batch(columns, names=["row", "n", "fp", "bits", "prefix"])
 
-    return texts.mapInArrow(run, "row long, n long, fp long, bins binary, prefix array<long>")
+    return texts.mapInArrow(run, "row long, n long, fp long, bits binary, prefix array<long>")
 
 
 def shingle_sets(texts: DataFrame, width: int) -> DataFrame:
@@ -213,7 +240,7 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, least: tuple[int, i
 
 
 def bucketed(known: DataFrame, least: tuple[int, int], bucket_rows: int) -> DataFrame:
-    """(h, parts, row, n, bins): the buckets of shingles in which rows that may be similar meet; see the module's text.
+    """(h, parts, row, n, bits): the buckets of shingles in which rows that may be similar meet; see the module's text.
 
     Aggregates are written before they are joined again on their key, so that a hot shingle's rows can be split.
     """
@@ -224,7 +251,7 @@ def bucketed(known: DataFrame, least: tuple[int, int], bucket_rows: int) -> Data
     kept = F.slice("by", 1, F.size("by") - F.floor((needed - 1) / 2).cast("int"))
     chosen = materialize(shared.select("row", F.explode(kept).alias("k")).select("row", "k.h"), "chosen")
     sizes = materialize(chosen.groupBy("h").agg(F.count("*").alias("m")).filter("m > 1").select("h", F.ceil(F.col("m") / bucket_rows).alias("parts")), "sizes")
-    out = materialize(chosen.join(sizes, "h").join(known.select("row", "n", "bins"), "row"), "buckets")
+    out = materialize(chosen.join(sizes, "h").join(known.select("row", "n", "bits"), "row"), "buckets")
     discard(several, chosen, sizes)
     return out
 

@@ -88,7 +88,6 @@ def test_pack(spark, edge, texts):
 
     path = queries.tokenizer_file()
     slow = Tokenizer.from_file(path)
-    slow.encode_special_tokens = True
     got = packing.pack(edge, path).collect()
     want = collections.Counter()
     for doc, text in texts:
@@ -428,7 +427,7 @@ def test_similar_texts_of_many_edits(spark, bucket_rows, monkeypatch):
     assert sorted(r["doc_id"] for r in simhash.keep_one(df).collect()) == want
 
 
-@pytest.mark.parametrize("n", [0, 1, 4, 9, 10, 11, 40, 333])
+@pytest.mark.parametrize("n", [0, 1, 4, 9, 10, 11, 40, 66, 333, 3000])
 def test_prefixes_share_enough(n):
     rng = np.random.default_rng(n)
     common, counts = np.sort(rng.integers(0, 1 << 62, 50, dtype=np.uint64)), rng.integers(3, 9, 50)
@@ -438,8 +437,8 @@ def test_prefixes_share_enough(n):
         if len(a) and similar.alike(a, b):
             shared = np.intersect1d(similar.prefix(a, common, counts), similar.prefix(b, common, counts))
             assert len(shared) >= max(similar.common_least(len(x), similar.SIMILARITY) for x in (a, b))
-            bins = np.stack([np.frombuffer(similar.binned(x), np.uint8) for x in (a, b)])
-            assert len(similar.possible(bins, np.array([len(a), len(b)]), 0, np.array([1]), similar.SIMILARITY)) == 1
+            maps = similar.Maps([similar.bit_map(x) for x in (a, b, a[:1])])
+            assert len(similar.possible(maps, np.array([len(a), len(b), 1]), 0, np.array([1]), similar.SIMILARITY)) == 1
 
 
 # 7 repeated strings
