@@ -118,6 +118,13 @@ def transform(symbols: np.ndarray) -> np.ndarray:
     return before[suffix_order(symbols)]
 
 
+def dealt_out(symbols: np.ndarray) -> np.ndarray:
+    """Stable order of numbers below 2^32: by their low 16 bits, then by the high ones, as short numbers are sorted digit by digit."""
+    order = np.argsort(symbols.astype(np.uint16), kind="stable")
+    high = symbols >> 16
+    return order[np.argsort(high[order].astype(np.uint16), kind="stable")] if high.any() else order
+
+
 def merge_transforms(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(shard of each place, common prefix of each place with the one before, at most ``depth``): the shards' suffixes interleaved.
 
@@ -129,18 +136,20 @@ def merge_transforms(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarr
     shard = np.repeat(np.arange(len(transforms)), [len(t) for t in transforms])
     ends = np.array([int((t == 0).sum()) for t in transforms])
     head = np.repeat(np.arange(len(transforms)), ends)
-    block = np.zeros(len(shard), np.int64)
+    shard, head = shard.astype(np.uint8), head.astype(np.uint8)
+    block = np.zeros(len(shard), np.int32)
     common = np.full(len(shard), depth)
     common[: len(head) + 1] = 0
+    both = np.concatenate(transforms).astype(np.uint32)
     for done in range(depth):
-        symbol = np.empty(len(shard), np.int64)
-        for s, t in enumerate(transforms):
-            symbol[shard == s] = t
-        order = np.argsort(symbol, kind="stable")[len(head) :]  # the suffixes that are an end alone stay in front
+        # The i-th place of a shard in the order has the i-th symbol of its transform.
+        symbol = np.empty(len(shard), np.uint32)
+        symbol[np.argsort(shard, kind="stable")] = both
+        order = dealt_out(symbol)[len(head) :]  # the suffixes that are an end alone stay in front
         symbol, old = symbol[order], block[order]
         new = np.r_[True, (symbol[1:] != symbol[:-1]) | (old[1:] != old[:-1])] if len(order) else np.empty(0, bool)
         shard = np.r_[head, shard[order]]
-        block = np.r_[np.arange(len(head)), len(head) + np.cumsum(new)]
+        block = np.r_[np.arange(len(head), dtype=np.int32), len(head) + np.cumsum(new, dtype=np.int32)]
         rest = common[len(head) :]
         rest[new & (rest > done)] = done
     return shard, common
