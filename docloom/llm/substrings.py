@@ -48,7 +48,7 @@ POSITION_BITS = 18
 #: Bytes of distinct segments merged at once, in how many shards; bytes of distinct segments beyond which a key is split.
 MERGE_BYTES = 4 << 20
 SHARDS = 4
-KEY_BYTES = 1 << 20
+KEY_BYTES = 1 << 18
 #: Offsets in a group: all of a key's, then those of a split key, then those of a group that is split again.
 WIDTHS = (CHOICES, 13, 2)
 #: Columns added to a caller's rows; names that no table has.
@@ -285,18 +285,26 @@ def _table(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.
 
 
 def split_segments(hot: DataFrame, width: int) -> DataFrame:
-    """SEGMENT for the groups of ``width`` offsets of the segments in ``hot`` (SEGMENT), with the signature (o1, o2) they are of and their place ``at`` there."""
+    """SEGMENT for the groups of ``width`` offsets of the segments in ``hot`` (SEGMENT), with the signature (o1, o2) they are of and their place ``at`` there; data is null where the task shipped it before."""
     schema = "o1 long, o2 long, at short, " + SEGMENT
     names, kinds = _columns(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, ship = [], 0
+        seen: set = set()
         for b in batches:
             for r in b.to_pylist():
                 for key, at, size, lead, data in pieces(r["key"], r["size"], r["lead"], r["data"], width):
-                    rows.append((r["s1"], r["s2"], at, key, *_signature(lead, size, data), size, lead, r["source"], data))
-                    ship += len(data)
-                if ship > 4 << 20:
+                    s = _signature(lead, size, data)
+                    if s in seen:
+                        data = None
+                    else:
+                        if len(seen) > SEEN:
+                            seen.clear()
+                        seen.add(s)
+                        ship += len(data)
+                    rows.append((r["s1"], r["s2"], at, key, *s, size, lead, r["source"], data))
+                if ship > 4 << 20 or len(rows) > 50_000:
                     yield _table(rows, names, kinds)
                     rows, ship = [], 0
         if rows:
