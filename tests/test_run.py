@@ -1,4 +1,4 @@
-"""From a folder to artefacts, against the published sample's fields, and providers' answers."""
+"""From a folder to artefacts, and providers' answers."""
 
 import glob
 import hashlib
@@ -41,25 +41,25 @@ def artefacts(out, name):
     return [json.loads(line) for f in sorted(glob.glob(f"{out}/{name}/part-*")) for line in open(f, encoding="utf-8") if line.strip()]
 
 
-LV = "01 Fahrradgaragen ...\n01.01 Garagen ...\n01.01.0010 Lieferung Garage\nFarbe soll RAL 7016 sein oder gleichwertig\n6 St\n01.01.0020 Entfällt\f01.01.0030 Montage der Garage, muss zwingend und der Statik nach halten\n1 psch\f\f\f\f"
+LV = "01 Hallenbau ...\n01.01 Hallen ...\n01.01.0010 Lieferung Halle\nFarbe soll RAL 7016 sein oder gleichwertig\n6 St\n01.01.0020 Entfällt\f01.01.0030 Montage der Halle, muss zwingend und der Statik nach halten\n1 psch\f\f\f\f"
 
 
 def test_folder_to_artefacts(spark, tmp_path, parse):
-    source = folder(tmp_path / "My Sample", **{"LV_Garagen (1)": LV})
+    source = folder(tmp_path / "My Sample", **{"LV_Musterbau (1)": LV})
     run_folder(spark, parse_args(["--input", source, "--output", str(tmp_path / "out")]), parse)
     out = str(tmp_path / "out/my_sample")
     (manifest,) = artefacts(out, "manifest")
     assert list(manifest) == ["tenderId", "createdAt", "files"] and manifest["tenderId"] == "my_sample" and manifest["createdAt"].endswith("Z")
-    assert manifest["files"] == [{"fileId": "lv_garagen_1", "filename": "LV_Garagen (1).pdf", "pages": 6, "sha256": hashlib.sha256(LV.encode()).hexdigest(), "roleGuess": "main_lv", "language": "de"}]
+    assert manifest["files"] == [{"fileId": "lv_musterbau_1", "filename": "LV_Musterbau (1).pdf", "pages": 6, "sha256": hashlib.sha256(LV.encode()).hexdigest(), "roleGuess": "main_lv", "language": "de"}]
     (report,) = artefacts(out, "coverage-report")
     assert report == {"schemaValid": True, "totalContentChunks": 2, "referencedChunks": 2, "orphanChunks": [], "leafCount": 2, "lowConfidenceLeaves": 0, "mustLeaves": 1, "avgGrounding": 1.0, "lowGroundingLeaves": 0}
     assert artefacts(out, "references") == [{"scannedLeaves": 2, "internalResolved": 0, "externalUnresolved": 0, "unresolved": []}]
     chunks = artefacts(out, "chunks")
-    assert [c["id"] for c in chunks] == ["lv_garagen_1:p1:01.01.0010", "lv_garagen_1:p1:01.01.0020", "lv_garagen_1:p2:01.01.0030"]
-    assert list(chunks[0]) == ["id", "fileId", "page", "kind", "ozCode", "title", "text", "quantity", "equivalence"] and chunks[0]["fileId"] == "lv_garagen_1"
+    assert [c["id"] for c in chunks] == ["lv_musterbau_1:p1:01.01.0010", "lv_musterbau_1:p1:01.01.0020", "lv_musterbau_1:p2:01.01.0030"]
+    assert list(chunks[0]) == ["id", "fileId", "page", "kind", "ozCode", "title", "text", "quantity", "equivalence"] and chunks[0]["fileId"] == "lv_musterbau_1"
     (top,) = artefacts(out, "tree")
-    assert top["bulletPoint"] == "Fahrradgaragen" and [x["bulletPoint"] for x in top["deliverableArray"][0]["deliverableArray"]] == ["Lieferung Garage (6 St)", "Montage der Garage, muss zwingend und der Statik nach halten (1 psch)"]
-    assert top["deliverableArray"][0]["deliverableArray"][0]["procurementDocumentChunkIdArray"] == ["lv_garagen_1:p1:01.01.0010"]
+    assert top["bulletPoint"] == "Hallenbau" and [x["bulletPoint"] for x in top["deliverableArray"][0]["deliverableArray"]] == ["Lieferung Halle (6 St)", "Montage der Halle, muss zwingend und der Statik nach halten (1 psch)"]
+    assert top["deliverableArray"][0]["deliverableArray"][0]["procurementDocumentChunkIdArray"] == ["lv_musterbau_1:p1:01.01.0010"]
 
 
 def test_files_in_the_order_of_their_names_and_equal_slugs_apart(spark, tmp_path, parse):
