@@ -26,6 +26,9 @@ from .common import materialize, slices, text_values, tune
 CACHE_ENTRIES = 300_000
 #: Pieces of one length that are ranked in one group.
 RANK_ROWS = 512
+#: Where a part begins; slower than splitting at spaces, but not for parts beyond so many characters.
+PART = re.compile(r"(?= \S)")
+LONG_PART = 4096
 
 
 @lru_cache(maxsize=2)
@@ -52,6 +55,29 @@ def byte_bpe(path: str):
     return tiktoken.Encoding("byte-bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}), {t["content"]: t["id"] for t in added}
 
 
+class Known(dict):
+    """Ids of parts that were encoded before; others are encoded, and remembered if they are short.
+
+    tiktoken's pattern matcher overflows its stack on long runs of white space, so long parts are left to tokenizers.
+    """
+
+    def __init__(self, path: str, encoder):
+        super().__init__()
+        self.path, self.encoder, self.library = path, encoder, None
+
+    def __missing__(self, part: str) -> bytes:
+        if len(part) > LONG_PART:
+            if self.library is None:
+                import tokenizers
+
+                self.library = tokenizers.Tokenizer.from_file(self.path)
+            return np.array(self.library.encode(part, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        ids = np.array(self.encoder.encode_ordinary(part), dtype="<u4").tobytes()
+        if len(part) < 64:
+            self[part] = ids
+        return ids
+
+
 class Tokenizer:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
@@ -61,15 +87,11 @@ class Tokenizer:
     """
 
     def __init__(self, path: str):
-        self.encoder, added = byte_bpe(path)
-        self.known: dict[str, bytes] = {}
+        encoder, added = byte_bpe(path)
+        self.known = Known(path, encoder)
         self.added = {k: np.array([v], dtype="<u4").tobytes() for k, v in added.items() if k}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
 
-    def part(self, text: str) -> bytes:
-        ids = self.encoder.encode_ordinary(text)
-        return np.array(ids, dtype="<u4").tobytes()
-
     def parts(self, text: str) -> list[str]:
         cut = text.split(" ")
         out = [cut[0]]
@@ -78,6 +100,8 @@ class Tokenizer:
                 out.append(" " + x)
             else:
                 out[-1] += " " + x
+                if len(out[-1]) > LONG_PART:
+                    return PART.split(text)  # a part that grows is copied at each step
         return out
 
     def encode(self, text: str) -> bytes:
@@ -86,17 +110,9 @@ class Tokenizer:
         return self.plain(text)
 
     def plain(self, text: str) -> bytes:
-        known, out = self.known, []
-        if len(known) > CACHE_ENTRIES:
-            known.clear()
-        for x in self.parts(text):
-            ids = known.get(x)
-            if ids is None:
-                ids = self.part(x)
-                if len(x) < 64:
-                    known[x] = ids
-            out.append(ids)
-        return b"".join(out)
+        if len(self.known) > CACHE_ENTRIES:
+            self.known.clear()
+        return b"".join(map(self.known.__getitem__, self.parts(text)))
 
 
 #: One for each Python worker, kept from task to task.
@@ -238,15 +254,16 @@ def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: s
     their own; a null id stays null. An empty table gives no rows. Other columns of ``df`` are not read.
     """
     tune(df.sparkSession)
-    pieces = materialize(cut_documents(df, id_col, text_col, tokenizer_path, window, end_id), "pieces")
+    # Numbered where they are written: rows of one id, null or not, are dealt out like any others.
+    pieces = materialize(cut_documents(df, id_col, text_col, tokenizer_path, window, end_id).withColumn("row", F.monotonically_increasing_id()), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most `window` rows
     plan = best_fit_decreasing(counts, window)
     buckets = max(1, -(-max(counts.values(), default=1) // RANK_ROWS))
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start"), F.lit(buckets)))
+    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)))
     order = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = dealt.groupBy("length", "bucket").agg(F.count("*").alias("n")).select("length", "bucket", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
-    within = Window.partitionBy("length", "bucket").orderBy("doc_id", "start", "ids_crc32")
-    ranked = dealt.join(before.hint("merge"), ["length", "bucket"]).withColumn("rank", F.col("before") + F.row_number().over(within) - 1).drop("bucket", "before")
+    within = Window.partitionBy("length", "bucket").orderBy("row")
+    ranked = dealt.join(before.hint("merge"), ["length", "bucket"]).withColumn("rank", F.col("before") + F.row_number().over(within) - 1).drop("bucket", "before", "row")
     key_base = np.int64(1) << 40
     keys = plan["length"] * key_base + plan["rank"]
 
