@@ -107,7 +107,10 @@ def cell_links(fps: np.ndarray, table: np.ndarray, radius: int) -> list[tuple[in
 
 
 def near_links(distinct: DataFrame, radius: int = 3, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """(a, b): links that span every group of the distinct fingerprints ``fp`` joined by at most ``radius`` bits."""
+    """(a, b): links that span every group of the distinct fingerprints ``fp`` joined by at most ``radius`` bits.
+
+    Fingerprints without a near one are in no link; an empty table gives no rows; other columns are not read.
+    """
     table = materialize(pivot_table(distinct, radius), "pivots")
     pairs = F.array(*(F.struct(F.lit(t).alias("t"), F.element_at("bands", i + 1).alias("x"), F.element_at("bands", j + 1).alias("y")) for t, (i, j) in enumerate(combinations(range(radius + 2), 2))))
     rows = table.select("fp", "spread", F.explode(pairs).alias("c")).select("c.*", "fp", "spread")
@@ -160,11 +163,16 @@ def near_links(distinct: DataFrame, radius: int = 3, cell_rows: int = CELL_ROWS)
 
 
 def groups(prints: DataFrame, radius: int = 3) -> DataFrame:
-    """(fp, component_id) for every distinct fingerprint of ``prints`` (doc_id, fp)."""
+    """(fp, component_id) for every distinct fingerprint of ``prints`` (doc_id, fp).
+
+    Null ids are no smallest ids; a component of null ids alone has a null component_id. Repeated rows change nothing, an empty
+    table gives no rows, other columns are not read.
+    """
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
     roots = components(near_links(distinct.select("fp"), radius))
     rooted = materialize(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "roots")
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Written out, so that the join has an exchange of its own on either side and a large component's rows can be split.
+    smallest = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "smallest")
     return rooted.join(smallest, "root").select("fp", "component_id")
 
 
