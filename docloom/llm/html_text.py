@@ -9,7 +9,9 @@ article text never make blocks.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -31,7 +33,8 @@ OUTSIDE_NAMES = re.compile(
     re.IGNORECASE,
 )
 HEADER_NAMES = re.compile(r"(?:^|[\s_-])(?:header|topbar)(?:$|\s)", re.IGNORECASE)
-CLOSES_P = BLOCK
+#: A tag or comment that the page's end cuts off; it holds no text.
+CUT_OFF = re.compile("<(?:/?[A-Za-z]|[!?])")
 
 SIGMA = 1.0
 REACH = 2
@@ -39,22 +42,28 @@ REACH = 2
 FEED = 1 << 16
 
 
+@lru_cache(maxsize=4096)
+def kinds(tag: str) -> tuple:
+    """What open elements are looked up by: the name, and the sets that it is in."""
+    return (tag, *(k for k in (CONTAINER, OUTSIDE) if tag in k))
+
+
 class Blocks(HTMLParser):
-    """Collects (region, in an article, text, tags) for each block."""
+    """Collects (region, text, tags) for each block. Open elements are looked up by ``kinds``, however deep a page is."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, bool, int, bool]] = [("", False, 0, False)]  # name, outside, region, in an article
+        self.at: defaultdict = defaultdict(lambda: [0])
         self.regions = 0
         self.text: list[str] = []
         self.tags = 0
-        self.blocks: list[tuple[int, bool, str, int]] = []
+        self.blocks: list[tuple[int, str, int]] = []
 
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            _, _, region, article = self.open[-1]
-            self.blocks.append((region, article, text, self.tags))
+            self.blocks.append((self.open[-1][2], text, self.tags))
         self.text, self.tags = [], 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -69,7 +78,7 @@ class Blocks(HTMLParser):
             self.close_paragraph()
         _, outside, region, article = self.open[-1]
         given = dict(attrs)
-        if tag in ARTICLE and not any(x[0] in OUTSIDE for x in self.open):
+        if tag in ARTICLE and not self.at[OUTSIDE][-1]:
             outside = False
             if not article:
                 self.regions += 1
@@ -80,33 +89,36 @@ class Blocks(HTMLParser):
         if tag not in ("html", "body", "article", "main"):
             named = f"{given.get('class') or ''} {given.get('id') or ''}"
             outside |= tag in OUTSIDE or tag == "header" and not article or (given.get("role") or "").lower() in OUTSIDE_ROLES or "hidden" in given or given.get("aria-hidden") == "true" or bool(named.strip() and (OUTSIDE_NAMES.search(named) or not article and HEADER_NAMES.search(named)))
+        for k in kinds(tag):
+            self.at[k].append(len(self.open))
         self.open.append((tag, outside, region, article))
 
+    def end(self, place: int) -> None:
+        """The element at ``place`` and what it holds end."""
+        while len(self.open) > place:
+            for k in kinds(self.open.pop()[0]):
+                self.at[k].pop()
+
     def close_paragraph(self) -> None:
         """A block begins, so an open paragraph and what it holds end."""
-        for i in range(len(self.open) - 1, 0, -1):
-            name = self.open[i][0]
-            if name == "p":
-                del self.open[i:]
-                return
-            if name in CONTAINER or name in OUTSIDE:
-                return
+        if (place := self.at["p"][-1]) > max(self.at[CONTAINER][-1], self.at[OUTSIDE][-1]):
+            self.end(place)
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
         if tag in BLOCK:
             self.flush()
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i][0] == tag:
-                if tag in BLOCK or not any(x[0] in CONTAINER for x in self.open[i + 1 :]):
-                    del self.open[i:]
-                return
+        place = self.at[tag][-1]
+        if place and (tag in BLOCK or place >= self.at[CONTAINER][-1]):
+            self.end(place)
 
     def handle_data(self, data: str) -> None:
         if not self.open[-1][1]:
             self.text.append(data)
 
-    def done(self) -> list[tuple[int, bool, str, int]]:
+    def done(self) -> list[tuple[int, str, int]]:
+        if CUT_OFF.match(self.rawdata):
+            self.rawdata = ""
         self.close()
         self.flush()
         return self.blocks
@@ -145,18 +157,17 @@ def main_text(html: str) -> str:
     blocks = parser.done()
     if not blocks:
         return ""
-    ratios = smoothed(np.array([len(text) / (tags + 1) for _, _, text, tags in blocks]))
+    ratios = smoothed(np.array([len(text) / (tags + 1) for _, text, tags in blocks]))
     cut = threshold(ratios)
-    dense = {region for (region, _, _, _), value in zip(blocks, ratios.tolist(), strict=True) if value >= cut}
-    chosen = dense
-    return "\n".join(text for region, _, text, _ in blocks if region in chosen)
+    dense = {region for (region, _, _), value in zip(blocks, ratios.tolist(), strict=True) if value >= cut}
+    return "\n".join(text for region, text, _ in blocks if region in dense)
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) for every row.
 
     Character references are decoded, white space inside a block is one space, blocks keep the page's order. Null and empty
-    pages and pages without content have an empty text. Repeated rows stay; null ids and urls stay null; an empty table gives
+    pages and pages without content have an empty text; a tag or comment that a page's end cuts off holds none. Repeated rows stay; null ids and urls stay null; an empty table gives
     no rows; other columns are not read.
     """
     tune(df.sparkSession)
