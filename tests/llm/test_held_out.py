@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 import string
+import time
 import uuid
 import zlib
 
@@ -31,6 +32,27 @@ def test_added_tokens_as_in_the_library():
         assert np.frombuffer(fast.encode(text), "<u4").tolist() == slow.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", [" " * 1_000_000 + "a b", "\n" * 600_000, " \n" * 300_000 + "x", "a" + " " * 5000 + "b  c", "x" * 50_000 + " y"])
+def test_long_runs_as_in_the_library(text):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_file()
+    want = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(packing.Tokenizer(path).encode(text), "<u4").tolist() == want
+
+
+@pytest.mark.parametrize("doc_id", [None, 5])
+def test_rows_of_one_id_fill_sequences_too(spark, doc_id, monkeypatch):
+    monkeypatch.setattr(packing, "RANK_ROWS", 16)
+    docs = spark.createDataFrame([(doc_id, "three words here")] * 1500 + [(i, "a b") for i in range(100)], "doc_id long, text string")
+    places = collections.defaultdict(list)
+    for r in packing.pack(docs.repartition(4), queries.tokenizer_file(), window=64).collect():
+        places[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert sum(map(len, places.values())) == 1600
+    for rows in places.values():
+        assert [o for o, _ in sorted(rows)] == [0, *itertools.accumulate(n for _, n in sorted(rows))][:-1] and sum(n for _, n in rows) <= 64
+
+
 # 2
 
 
@@ -194,6 +216,19 @@ def test_no_article_tag_is_needed(spark):
         assert "<article" not in plain and html_text.main_text(plain) == html_text.main_text(r["html"])
 
 
+def test_deep_pages_and_stray_ends_take_no_longer():
+    n = 20_000
+    for page in ("<b>" * n + "</i>" * n + "end", "<i><div>" + "<span>" * n + "</i>" * n + "end", "<b>" * n + "<p>x" * n + " end", "<!--" * n + "-->end", "end" + "<!--" * n):
+        begin = time.process_time()
+        assert html_text.main_text(page).endswith("end")
+        assert time.process_time() - begin < 10
+
+
+@pytest.mark.parametrize(("page", "text"), [("<p>a</p><!-- b", "a"), ("<p>a <b", "a"), ('<p>a</p> c <a href="x', "a\nc"), ("<p>a <3", "a <3"), ("<p>a </", "a </"), ("<p>a &am", "a &am"), ("<p>a<!doc", "a")])
+def test_pages_that_are_cut_off(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_ratios_choose_regions(monkeypatch):
     text = "A paragraph of the page's own text, long and with hardly any tags in it. " * 3
     page = "<div>" + "".join(f"<p><a>link {i}</a> <b>x</b></p>" for i in range(6)) + "</div><div>" + f"<p>{text}</p>" * 4 + "</div>"
