@@ -65,14 +65,17 @@ class Known(dict):
         super().__init__()
         self.path, self.encoder, self.library = path, encoder, None
 
-    def __missing__(self, part: str) -> bytes:
+    def whole(self, part: str) -> bytes:
         if len(part) > LONG_PART:
             if self.library is None:
                 import tokenizers
 
                 self.library = tokenizers.Tokenizer.from_file(self.path)
             return np.array(self.library.encode(part, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        ids = np.array(self.encoder.encode_ordinary(part), dtype="<u4").tobytes()
+        return np.array(self.encoder.encode_ordinary(part), dtype="<u4").tobytes()
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.whole(part)
         if len(part) < 64:
             self[part] = ids
         return ids
@@ -104,6 +107,10 @@ class Tokenizer:
                     return PART.split(text)  # a part that grows is copied at each step
         return out
 
+    def part(self, text: str) -> bytes:
+        """Ids of a text without added tokens, encoded in one go and not remembered."""
+        return self.known.whole(text)
+
     def encode(self, text: str) -> bytes:
         if self.cut and self.cut.search(text):
             return b"".join(self.added[x] if x in self.added else self.plain(x) for x in self.cut.split(text) if x)

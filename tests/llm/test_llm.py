@@ -115,6 +115,12 @@ def test_cached_parts_equal_whole_text(text):
     assert t.plain(text) == t.part(text)
 
 
+@pytest.mark.parametrize("text", ["x" * 5000, "a b" + " " * 5000 + "c"])
+def test_part_beyond_the_cache_equals_whole_text(text):
+    t = packing.Tokenizer(queries.tokenizer_file())
+    assert t.part(text) == t.plain(text) and text not in t.known
+
+
 # 2 quality
 
 
