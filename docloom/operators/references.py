@@ -51,37 +51,37 @@ def resolve_internal(leaves: DataFrame, matches: DataFrame, cut: Callable[[DataF
     Leaves are visited in order, so a leaf that refers back takes what its target has gained, and one that refers ahead takes
     the target's own ids. A leaf's list therefore is its own ids, then for each match in order the target's list or its own
     ids, each id at its first place. Lists begin with marks for targets behind; every round puts the targets' lists as they
-    are in place of the marks, which doubles the links that are followed. Only leaves with matches take part.
+    are in place of the marks, which doubles the links that are followed. Only leaves with matches take part. A target that a
+    leaf names again brings nothing new, so it counts once, at its first place, and its ids aren't carried for each mention.
     """
     own = leaves.select("leaf_ord", "chunk_ids")
-    matches = cut(matches.select("leaf_ord", "nth", "target_ord"), "matches")
+    matches = cut(matches.groupBy("leaf_ord", "target_ord").agg(F.min("nth").alias("nth")), "matches")
     if not matches.take(1):
         return leaves, matches.select("leaf_ord", F.lit(0).alias("grew"))
-    item = "struct<id:string,ref:bigint>"
-    as_items = lambda ids: F.transform(ids, lambda i: F.struct(i.alias("id"), F.lit(None).cast("long").alias("ref")))
+    # Items are strings, as those are compared by hash and structs one by one: an id after "=", a mark after "@".
+    as_items = lambda ids: F.transform(ids, lambda i: F.concat(F.lit("="), i))
+    is_mark = lambda i: F.coalesce(F.startswith(i, F.lit("@")), F.lit(False))
     target = own.select(F.col("leaf_ord").alias("target_ord"), F.col("chunk_ids").alias("t_own"))
     refers = matches.select(F.col("leaf_ord").alias("target_ord"), F.lit(True).alias("refers")).distinct()
     took = matches.join(target, "target_ord").join(refers, "target_ord", "left")
-    mark = F.array(F.struct(F.lit(None).cast("string").alias("id"), F.col("target_ord").alias("ref")))
+    mark = F.array(F.concat(F.lit("@"), F.col("target_ord").cast("string")))
     took = took.withColumn("items", F.when((F.col("target_ord") < F.col("leaf_ord")) & F.col("refers"), mark).otherwise(as_items(F.col("t_own"))))
     lists = took.groupBy("leaf_ord").agg(F.sort_array(F.collect_list(F.struct("nth", "target_ord", "items"))).alias("ms")).join(own, "leaf_ord")
-    now = cut(lists.select("leaf_ord", F.array_distinct(F.concat(as_items(F.col("chunk_ids")), F.flatten(F.transform("ms", lambda m: m["items"])))).cast(f"array<{item}>").alias("items")), "lists")
-    while now.filter(F.exists("items", lambda i: i["ref"].isNotNull())).take(1):
+    now = cut(lists.select("leaf_ord", F.array_distinct(F.concat(as_items(F.col("chunk_ids")), F.flatten(F.transform("ms", lambda m: m["items"])))).alias("items")), "lists")
+    while now.filter(F.exists("items", is_mark)).take(1):
         each = now.select("leaf_ord", F.posexplode("items").alias("pos", "item"))
         behind = now.select(F.col("leaf_ord").alias("ref"), F.col("items").alias("put"))
-        put = each.withColumn("ref", F.col("item.ref")).join(behind, "ref", "left").withColumn("put", F.coalesce("put", F.array("item")))
+        # Only marks are joined; rows without one would all have the same key.
+        put = each.filter(is_mark(F.col("item"))).withColumn("ref", F.expr("cast(substring(item, 2) as bigint)")).join(behind, "ref").select("leaf_ord", "pos", "put")
+        put = put.unionByName(each.filter(~is_mark(F.col("item"))).select("leaf_ord", "pos", F.array("item").alias("put")))
         now = cut(put.groupBy("leaf_ord").agg(F.array_distinct(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("pos", "put"))), lambda x: x["put"]))).alias("items")), "lists")
-    done = now.select("leaf_ord", F.transform("items", lambda i: i["id"]).alias("ids"))
-    # A match counts if it brought anything new when its turn came.
+    done = now.select("leaf_ord", F.transform("items", lambda i: F.substr(i, F.lit(2))).alias("ids"))
+    # A match counts if it was the first to bring an id. Ids are rows here, so no leaf's lists meet in one value.
     final = took.join(done.select(F.col("leaf_ord").alias("target_ord"), F.col("ids").alias("t_all")), "target_ord", "left")
     brought = F.when(F.col("target_ord") < F.col("leaf_ord"), F.coalesce("t_all", "t_own")).otherwise(F.col("t_own"))
-    steps = final.groupBy("leaf_ord").agg(F.sort_array(F.collect_list(F.struct("nth", brought.alias("ids")))).alias("ms")).join(own, "leaf_ord")
-
-    def step(acc: Column, m: Column) -> Column:
-        ids = F.array_union(acc["ids"], m["ids"])
-        return F.struct(ids.alias("ids"), (acc["grew"] + (F.size(ids) > F.size(acc["ids"])).cast("int")).alias("grew"))
-
-    grew = steps.select("leaf_ord", F.aggregate("ms", F.struct(F.col("chunk_ids").alias("ids"), F.lit(0).alias("grew")), step)["grew"].alias("grew"))
+    had = own.join(matches.select("leaf_ord").distinct(), "leaf_ord", "left_semi").select("leaf_ord", F.lit(-1).alias("nth"), F.explode_outer("chunk_ids").alias("id"))
+    first = had.unionByName(final.select("leaf_ord", "nth", F.explode(brought).alias("id"))).groupBy("leaf_ord", "id").agg(F.min("nth").alias("nth"))
+    grew = first.groupBy("leaf_ord").agg(F.countDistinct(F.when(F.col("nth") >= 0, F.col("nth"))).cast("int").alias("grew"))
     out = leaves.join(done, "leaf_ord", "left").withColumn("chunk_ids", F.coalesce("ids", "chunk_ids")).select(*leaves.columns)
     return out, grew
 

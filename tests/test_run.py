@@ -131,6 +131,29 @@ def test_long_chains_of_references(spark):
     assert {r["leaf_ord"]: r["chunk_ids"] for r in out.collect()} == ids and {r["leaf_ord"]: r["grew"] for r in said.collect()} == grew
 
 
+def test_a_target_named_often_is_carried_once(spark):
+    from docloom.operators import references
+    from docloom.plans.tables import written
+
+    n, kept = 12, {}
+    leaves_ = spark.createDataFrame([(i, [f"c{i}", f"d{i % 3}"]) for i in range(n)], "leaf_ord long, chunk_ids array<string>")
+    matches = [(i, k, [0, (i + 1) % n, 0, 5][k % 4]) for i in range(n) for k in range(30) if [0, (i + 1) % n, 0, 5][k % 4] != i]
+    ids = {i: [f"c{i}", f"d{i % 3}"] for i in range(n)}
+    grew = dict.fromkeys(range(n), 0)
+    for leaf, _, target in sorted(matches):
+        new = list(dict.fromkeys(ids[leaf] + ids[target]))
+        grew[leaf] += len(new) > len(ids[leaf])
+        ids[leaf] = new
+
+    def cut(df, name):
+        kept.setdefault(name, written(df, name))
+        return kept[name] if name == "matches" else written(df, name)
+
+    out, said = references.resolve_internal(leaves_, spark.createDataFrame(matches, "leaf_ord long, nth int, target_ord long"), cut)
+    assert {r["leaf_ord"]: r["chunk_ids"] for r in out.collect()} == ids and {r["leaf_ord"]: r["grew"] for r in said.collect()} == grew
+    assert sorted((r["leaf_ord"], r["target_ord"]) for r in kept["matches"].collect()) == sorted({(m[0], m[2]) for m in matches})
+
+
 def answer(content, reason="stop", usage=None):
     return {"choices": [{"finish_reason": reason, "message": {"content": content}}], "usage": usage}
 
