@@ -4,16 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions.patterns import tokens
+from docloom.plans.tables import written
 
 LEAST = 0.7
 SIMILAR_CHARS = 200
 #: Candidate pairs that the driver looks at together.
 PAIRS = 500
 ORDINALS = 10_000
+#: Tokens that similar sets must share among their rarest, if they have as many.
+SHARED = 8
+#: Numbers in the table of token frequencies, bits of a token's hash that candidates meet by, and bits in the map of ids.
+SLOTS = 1 << 20
+KEYS = (1 << 40) - 1
+BITS = 1 << 23
 
 
 def merge_exact(leaves: DataFrame) -> DataFrame:
@@ -32,16 +41,64 @@ def merge_exact(leaves: DataFrame) -> DataFrame:
     return out.select(*(F.col(f"first.{c}").alias(c) for c in others), "level2_key", "bullet_point", "leaf_ord", union.alias("chunk_ids"), allowed.alias("equivalence_allowed")).select(*leaves.columns)
 
 
-def _prefixes(rows: DataFrame, block: list[str], least: float) -> DataFrame:
-    """(block, token, ord, toks): each row under its rarest tokens, enough of them that similar rows share one.
+def _prefixes(sets: DataFrame, others: DataFrame, block: list[str], least: float) -> DataFrame:
+    """(key, id, size, at): the hashes of the rarest tokens of each set but ``others`` (id), enough of them that similar sets share SHARED or all.
 
-    Sets with a Jaccard index of at least s share a token among the first n - ceil(s n) + 1 in any common order; rare first.
+    The common order is by the number of tokens in a hash's slot, then by hash. Any order is exact, a rare one leaves fewer
+    candidates, so a table of SLOTS numbers does and no token is shuffled to learn its frequency or its rank.
     """
-    each = rows.select(*block, "ord", F.explode("toks").alias("token"))
-    counts = each.groupBy(*block, "token").agg(F.count("*").alias("n"))
-    ranked = each.join(counts, [*block, "token"]).groupBy(*block, "ord").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("by"))
-    kept = F.size("by") - F.ceil(F.size("by") * F.lit(least) - F.lit(1e-9)).cast("int") + 1
-    return ranked.select(*block, "ord", F.explode(F.slice("by", 1, F.greatest(kept, F.lit(1)))).alias("p")).select(*block, "ord", "p.token")
+    hashed = sets.select("id", F.transform("toks", lambda t: F.xxhash64(*block, t)).alias("hashes"))
+    slots = hashed.select(F.explode("hashes").alias("h")).groupBy(F.col("h").bitwiseAND(F.lit(SLOTS - 1)).cast("int").alias("slot")).agg(F.count("*").alias("n")).toArrow()
+    often = np.zeros(SLOTS, np.int64)
+    often[slots["slot"].to_numpy()] = slots["n"].to_numpy()
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, lists = batch.column(0).to_numpy(), batch.column(1)
+            hashes, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy().astype(np.int64)
+            row = np.repeat(np.arange(len(ids)), sizes)
+            hashes = hashes[np.lexsort((hashes, often[hashes & (SLOTS - 1)], row))]
+            size = sizes[row]
+            at = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            kept = at < size - np.ceil(size * least - 1e-9).astype(np.int64) + SHARED
+            yield pa.RecordBatch.from_arrays([pa.array(c[kept]) for c in (hashes & KEYS, ids[row], size.astype(np.int32), at.astype(np.int32))], ["key", "id", "size", "at"])
+
+    # Only rows whose bit is set can be among the others; they alone are shuffled.
+    some = _marked(hashed, others)
+    own = some.filter("NOT hit").unionByName(some.filter("hit").join(others, "id", "left_anti")).select("id", "hashes")
+    return own.mapInArrow(first, "key long, id long, size int, at int")
+
+
+def _candidates(sets: DataFrame, others: DataFrame, block: list[str], least: float) -> DataFrame:
+    """(x, y): ids of pairs that may be similar, x of the larger set; every similar pair is among them.
+
+    Sets of m and n tokens with a Jaccard index of at least s share at least c = s / (1 + s) (m + n) tokens, of which the first
+    k are among the first m - c + k in any common order. c is at least s m, and at least 2 s / (1 + s) n if n is the smaller.
+    """
+    prefix, half = _prefixes(sets, others, block, least), least / (1 + least)
+    x, y = prefix.toDF("key", "x", "nx", "ix"), prefix.toDF("key", "y", "ny", "iy")
+    y = y.filter(F.col("iy") < F.col("ny") - F.ceil(F.col("ny") * F.lit(2 * half) - F.lit(1e-9)) + SHARED)
+    larger = F.expr("nx > ny or nx = ny and x < y") & (F.col("ny") >= F.col("nx") * F.lit(least) - F.lit(1e-9))
+    shared = (F.col("nx") + F.col("ny")) * F.lit(half) - F.lit(1e-9)
+    may = F.least("ix", "iy") + F.least(F.col("nx") - F.col("ix"), F.col("ny") - F.col("iy")) >= shared
+    met = x.join(y, "key").filter(larger & may).groupBy("x", "y").agg(F.count("*").alias("n"), F.min(F.ceil(shared)).alias("least"))
+    return met.filter(F.col("n") >= F.least(F.lit(SHARED), "least")).select("x", "y")
+
+
+def _marked(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` with hit: true for every id in ``ids`` and for few others. It is read from a bit map of ids' hashes, so nothing is shuffled."""
+    slot = F.xxhash64("id").bitwiseAND(F.lit(BITS - 1))
+    each = ids.select(slot.alias("slot"))
+    words = each.groupBy(F.floor(F.col("slot") / 32).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 32 as int))")).alias("bits")).toArrow()
+    seen = np.zeros(BITS // 32, np.int64)
+    seen[words["word"].to_numpy()] = words["bits"].to_numpy()
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column("hit").to_numpy()
+            yield batch.set_column(batch.num_columns - 1, "hit", pa.array((seen[at // 32] >> (at % 32)) & 1 == 1))
+
+    return rows.withColumn("hit", slot).mapInArrow(mark, rows.withColumn("hit", F.lit(True)).schema)
 
 
 def similarity(a: Column, b: Column) -> Column:
@@ -51,32 +108,54 @@ def similarity(a: Column, b: Column) -> Column:
     return F.when(total == 0, 0.0).otherwise(shared / total)
 
 
+def _similar(sets: DataFrame, others: DataFrame, block: list[str], least: float) -> DataFrame:
+    """(block, a, b, x, y, sim) with a < b of similar sets in one block. ``sets`` (id, block, ord, toks) is written, ``others`` (id) don't count."""
+    pairs = written(_candidates(sets, others, block, least), "candidates")
+    some = written(_marked(sets.select("id", *block, "ord", "toks"), pairs.select(F.explode(F.array("x", "y")).alias("id"))).filter("hit").drop("hit"), "sets")
+    # Tokens travel with each pair, so first as two bytes each. What two tokens share as one mark is granted, so no similar pair goes.
+    marks = F.array_distinct(F.transform("toks", lambda t: (F.xxhash64(t).bitwiseAND(F.lit(65535)) - 32768).cast("short")))
+    brief = some.select("id", F.size("toks").alias("size"), marks.alias("marks"))
+    near = pairs.join(brief.toDF("x", "nx", "mx"), "x").join(brief.toDF("y", "ny", "my"), "y")
+    shared = F.size(F.array_intersect("mx", "my")) + F.least(F.col("nx") - F.size("mx"), F.col("ny") - F.size("my"))
+    near = near.filter(shared >= (F.col("nx") + F.col("ny")) * F.lit(least / (1 + least)) - F.lit(1e-9)).select("x", "y")
+    one, two = ({c: f"{side}_{c}" for c in [*block, "ord", "toks"]} | {"id": side} for side in "xy")
+    found = near.join(some.withColumnsRenamed(one), "x").join(some.withColumnsRenamed(two), "y").withColumn("sim", similarity(F.col("x_toks"), F.col("y_toks")))
+    for c in block:
+        found = found.filter(F.col(f"x_{c}") == F.col(f"y_{c}"))
+    ends = [F.struct(F.col(f"{side}_ord").alias("ord"), F.col(side).alias("id")) for side in "xy"]
+    ordered = F.col("x_ord") < F.col("y_ord")
+    a, b = (F.when(ordered, first).otherwise(second) for first, second in (ends, ends[::-1]))
+    found = found.filter((F.col("sim") >= least) & (F.col("x_ord") != F.col("y_ord")))
+    return found.select(*(F.col(f"x_{c}").alias(c) for c in block), a["ord"].alias("a"), b["ord"].alias("b"), a["id"].alias("x"), b["id"].alias("y"), "sim")
+
+
 def jaccard_pairs(rows: DataFrame, block: list[str], least: float = LEAST) -> DataFrame:
     """(block, a, b, sim) with a < b of rows (block, ord, toks) in one block whose similarity is at least ``least``.
 
-    Candidates share a rare prefix token; each is verified. A token that few rows of a block have is a small group.
+    Candidates share several of their rarest tokens; each is verified. A token that few rows of a block have is a small group.
     """
-    sets = rows.filter(F.size("toks") > 0)
-    prefix = _prefixes(sets, block, least)
-    left, right = prefix.withColumnRenamed("ord", "a"), prefix.withColumnRenamed("ord", "b")
-    pairs = left.join(right, [*block, "token"]).filter("a < b").select(*block, "a", "b").distinct()
-    one = sets.select(*block, F.col("ord").alias("a"), F.col("toks").alias("ta"))
-    two = sets.select(*block, F.col("ord").alias("b"), F.col("toks").alias("tb"))
-    found = pairs.join(one, [*block, "a"]).join(two, [*block, "b"]).withColumn("sim", similarity(F.col("ta"), F.col("tb")))
-    return found.filter(F.col("sim") >= least).select(*block, "a", "b", "sim")
+    sets = written(rows.filter(F.size("toks") > 0).select(F.monotonically_increasing_id().alias("id"), *block, "ord", "toks"), "sets")
+    return _similar(sets, sets.select("id").limit(0), block, least).select(*block, "a", "b", "sim")
 
 
 def jaccard_classes(rows: DataFrame, block: list[str], least: float = LEAST) -> DataFrame:
     """Similar pairs between classes of rows with equal token sets, by their smallest ord: (block, a, b, sim, n_a, n_b).
 
-    A class of several rows also has a row with itself, of similarity 1. No link is lost and copies aren't expanded.
+    A class of several rows also has a row with itself, of similarity 1. No link is lost and copies aren't expanded. Classes
+    are found by SHA-256, so only the token sets of candidates are shuffled.
     """
-    same = rows.filter(F.size("toks") > 0).withColumn("toks", F.sort_array("toks")).groupBy(*block, "toks").agg(F.min("ord").alias("ord"), F.count("*").alias("n"))
-    pairs = jaccard_pairs(same.select(*block, "ord", "toks"), block, least)
-    sizes = same.select(*block, "ord", "n")
-    out = pairs.join(sizes.select(*block, F.col("ord").alias("a"), F.col("n").alias("n_a")), [*block, "a"]).join(sizes.select(*block, F.col("ord").alias("b"), F.col("n").alias("n_b")), [*block, "b"])
-    own = same.filter("n > 1").select(*block, F.col("ord").alias("a"), F.col("ord").alias("b"), F.lit(1.0).alias("sim"), F.col("n").alias("n_a"), F.col("n").alias("n_b"))
-    return out.select(*own.columns).unionByName(own)
+    sets = rows.filter(F.size("toks") > 0).withColumn("toks", F.sort_array("toks"))
+    whole = F.sha2(F.array_join(F.transform("toks", lambda t: F.concat(F.length(t).cast("string"), F.lit(":"), t)), "").cast("binary"), 256)
+    sets = written(sets.select(F.monotonically_increasing_id().alias("id"), *block, "ord", F.unhex(whole).alias("digest"), "toks"), "sets")
+    same = sets.groupBy(*block, "digest").agg(F.min("ord").alias("ord"), F.count("*").alias("n"), F.min_by("id", F.struct(F.col("ord").isNull(), "ord", "id")).alias("id"))
+    same = written(same.filter("n > 1"), "classes")
+    member = sets.select("id", *block, "digest").join(same.select(*(F.col(c).alias(f"c_{c}") for c in block), F.col("digest").alias("c_digest"), F.col("id").alias("c_id")), F.expr(" AND ".join(f"{c} <=> c_{c}" for c in [*block, "digest"])))
+    others = written(member.filter("id <> c_id").select("id"), "others")
+    pairs, sizes = _similar(sets, others, block, least), same.select("id", "n")
+    out = pairs.join(sizes.toDF("x", "n_a"), "x", "left").join(sizes.toDF("y", "n_b"), "y", "left")
+    own = same.select(*block, F.col("ord").alias("a"), F.col("ord").alias("b"), F.lit(1.0).alias("sim"), F.col("n").alias("n_a"), F.col("n").alias("n_b"))
+    one = F.lit(1).cast("long")
+    return out.select(*block, "a", "b", "sim", F.coalesce("n_a", one).alias("n_a"), F.coalesce("n_b", one).alias("n_b")).unionByName(own)
 
 
 def leaf_tokens(leaves: DataFrame) -> DataFrame:

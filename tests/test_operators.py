@@ -151,6 +151,25 @@ def test_jaccard_equals_all_pairs(spark):
     assert {(r["a"], r["b"]) for r in consolidate.jaccard_pairs(df, ["block"]).collect()} == want
 
 
+def test_jaccard_ships_the_tokens_of_candidates_alone(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(f"b{i % 2}", rng.sample([f"w{j}" for j in range(4000)], 60)) for i in range(60)]
+    rows += [(b, [*s[k:], *(f"x{i}_{j}" for j in range(k))]) for i, (b, s) in enumerate(rows[:9]) for k in (0, 4, 9)]
+    df = spark.createDataFrame([(b, i, s) for i, (b, s) in enumerate(rows)], "block string, ord long, toks array<string>")
+    classes, kept = {}, []
+    for i, (b, s) in enumerate(rows):
+        classes.setdefault((b, frozenset(s)), []).append(i)
+    want = {(m[0], m[0], len(m), len(m)) for m in classes.values() if len(m) > 1}
+    for (c, x), m in classes.items():
+        want |= {(m[0], o[0], len(m), len(o)) for (d, y), o in classes.items() if c == d and m[0] < o[0] and len(x & y) / len(x | y) >= 0.7}
+    assert len(want) > 18
+    monkeypatch.setattr(consolidate, "written", lambda d, name: kept.append((name, t := written(d, name))) or t, raising=False)
+    got = consolidate.jaccard_classes(df, ["block"])
+    assert {(r["a"], r["b"], r["n_a"], r["n_b"]) for r in got.collect()} == want
+    shipped = [t for _, t in kept if "toks" in t.columns][-1:]
+    assert shipped and shipped[0].count() < len(rows) // 2
+
+
 def test_greedy_merge(spark):
     assert consolidate.greedy_fold(iter([(0, 1), (1, 2), (0, 2), (3, 4)]), lambda a, b: b != 4, 2) == [(0, 1), (0, 2)]
     same = "one two three four five six seven"
