@@ -195,6 +195,14 @@ def test_references(spark):
     assert quiet.first()["external_unresolved"] == 0
 
 
+def test_report_of_a_target_named_often(spark):
+    df = spark.createDataFrame([leaf(0, "Alpha"), leaf(1, "Beta", " ".join(['Position "alpha"'] * 40)), leaf(2, "Gamma", " ".join(['Position "beta"', 'Position "alpha"'] * 20))], LEAF)
+    chunks = df.selectExpr("chunk_ids[0] AS id", "description_source AS text", "leaf_ord AS chunk_ord")
+    kept = {}
+    _, report = references.resolve_references(df, chunks, spark.createDataFrame([("main_lv",)], "role_guess string"), lambda d, name: kept.setdefault(name, written(d, name)) if name == "matches" else written(d, name))
+    assert report.first()["internal_resolved"] == 2 and sorted((r["leaf_ord"], r["target_ord"]) for r in kept["matches"].collect()) == [(1, 0), (2, 0), (2, 1)]
+
+
 def test_no_references(spark):
     df = spark.createDataFrame([leaf(0)], LEAF)
     chunks = spark.createDataFrame([("c0", "plain", 0)], "id string, text string, chunk_ord long")
